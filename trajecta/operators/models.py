@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metrics
+from ..runtime import cut
 
 
 def preprocessor(numeric: list[str], categorical: list[str]) -> list:
@@ -25,7 +26,7 @@ def preprocessor(numeric: list[str], categorical: list[str]) -> list:
 
 def logistic(rows: int, label: str = "label", weight: str = "weight") -> LogisticRegression:
     """L2 with C = 1; the penalty is scaled by the sum of the weights, ``rows`` for balanced ones."""
-    return LogisticRegression(labelCol=label, weightCol=weight, regParam=1.0 / max(1, rows), elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-10)
+    return LogisticRegression(labelCol=label, weightCol=weight, regParam=1.0 / max(1, rows), elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-8)
 
 
 def forest(label: str = "label", weight: str = "weight", trees: int = 200, seed: int = 42) -> RandomForestClassifier:
@@ -45,6 +46,20 @@ def boosted_regressor(label: str = "label", rounds: int = 300, seed: int = 42) -
     return GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=6, stepSize=0.05, seed=seed)
 
 
+#: Training rows of a partition: fewer partitions make the many small jobs of a fit cheaper.
+ROWS_PER_PARTITION = 100_000
+
+
+def training_frame(df: DataFrame) -> tuple[DataFrame, int]:
+    """(rows, count): the frame written once, then cached in as many partitions as its size needs.
+
+    A fit plans dozens of jobs; on a written table their plans are small.
+    """
+    table = cut(df, "training")
+    n = table.count()
+    return table.coalesce(max(1, -(-n // ROWS_PER_PARTITION))).persist(), n
+
+
 def balanced(df: DataFrame, label: str = "label") -> DataFrame:
     """Add weight: rows / (2 x rows of the class)."""
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
@@ -69,9 +84,9 @@ def fit_classifiers(features: DataFrame, numeric: list[str], categorical: list[s
     Folds with fewer than ``min_train`` training rows, no test rows or one class in training are passed
     over; fewer than ``min_rows`` rows or two groups is an error.  Groups (molecules) are few.
     """
-    rows = metrics.median_impute(features.na.drop(subset=[label, group]), numeric).persist()
+    rows, n = training_frame(metrics.median_impute(features.na.drop(subset=[label, group]), numeric))
     try:
-        n, groups = rows.count(), [r[0] for r in rows.select(group).distinct().orderBy(group).collect()]
+        groups = [r[0] for r in rows.select(group).distinct().orderBy(group).collect()]
         if n < min_rows or len(groups) < 2:
             raise ValueError(f"{n} rows in {len(groups)} groups are too few")
         made = estimators or {"boosted": boosted(label), "forest": forest(label), "logistic": logistic(n, label)}
@@ -94,9 +109,9 @@ def fit_classifiers(features: DataFrame, numeric: list[str], categorical: list[s
 
 def fit_regressors(features: DataFrame, numeric: list[str], categorical: list[str], group: str, label: str = "label", estimators: dict | None = None, suffix: str = "") -> Fitted:
     """The same for a continuous target."""
-    rows = metrics.median_impute(features.na.drop(subset=[label, group]), numeric).persist()
+    rows, n = training_frame(metrics.median_impute(features.na.drop(subset=[label, group]), numeric))
     try:
-        n, std = rows.agg(F.count(F.lit(1)), F.coalesce(F.stddev_pop(label), F.lit(1.0))).first()
+        std = rows.agg(F.coalesce(F.stddev_pop(label), F.lit(1.0))).first()[0]
         groups = [r[0] for r in rows.select(group).distinct().orderBy(group).collect()]
         made = estimators or {"ridge": ridge(n, std, label=label), "boosted": boosted_regressor(label)}
         out = Fitted()
