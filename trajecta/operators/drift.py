@@ -93,26 +93,22 @@ def name_tokens(path: str) -> list[str]:
     return [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+", path.rsplit(".", 1)[-1])]
 
 
+#: Words of a name that say little about its quantity.
+GENERIC = frozenset("value name type data info is use the of id has".split())
+
+
 def name_likeness(a: str, b: str) -> float:
-    """Share of the shorter name's words that the other has, an abbreviation (prefix, 1 to 3 letters or more) counting; 0 to 1."""
-    x, y = sorted((name_tokens(a), name_tokens(b)), key=len)
-    if not x:
-        return 0.0
-
-    def same(p: str, q: str) -> float:
-        if p == q:
-            return 1.0
-        return 0.8 if p.startswith(q) or q.startswith(p) else 0.0
-
-    left, total = list(y), 0.0
-    for w in x:
-        best = max(left, key=lambda v: same(w, v), default="")
-        if best and (s := same(w, best)):
-            total += s
+    """Share of the shorter name's telling words that the other has, an abbreviation (a prefix) counting a little less; 0 to 1."""
+    sides = [[w for w in t if w not in GENERIC] or t for t in (name_tokens(a), name_tokens(b))]
+    short, left = sorted(sides, key=len)
+    left, total = list(left), 0.0
+    for w in short:
+        same = [v for v in left if v.startswith(w) or w.startswith(v)]
+        if same:
+            best = max(same, key=lambda v: (v == w, v))
+            total += 1.0 if best == w else 0.8
             left.remove(best)
-    generic = {"value", "name", "type", "data", "info", "is", "use", "the", "of", "id", "has"}
-    informative = [w for w in x if w not in generic] or x
-    return min(1.0, total / len(informative)) if total else 0.0
+    return total / len(short) if short else 0.0
 
 
 def value_likeness(a: dict[str, int], b: dict[str, int]) -> float | None:
