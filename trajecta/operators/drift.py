@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import cut
+from ..runtime import cut, spread
 from .once import with_json
 
 ROOTS = ("vqe_result", "vqe_result.initial_data")
@@ -57,7 +57,7 @@ def record_fields(messages: DataFrame, files: DataFrame, roots: tuple[str, ...]
     object has none.
     """
     placed = files.where("file_seq is not null and lane_id is not null").select("file_id", "lane_id", "file_seq")
-    rows = with_json(messages, "file_id", "line_no")
+    rows = with_json(spread(messages.select("file_id", "line_no", "payload")), "file_id", "line_no")
     maps = rows.select("file_id", "line_no", *[F.expr(f"try_variant_get(v, '$.{r}', 'map<string,variant>')").alias(f"m{i}") for i, r in enumerate(roots)])
     entry = (
         "transform(transform(map_entries({m}), e -> named_struct('path', '{r}.' || e.key, 'value', e.value, 'kind', schema_of_variant(e.value))), "
@@ -318,7 +318,7 @@ def unified_table(messages: DataFrame, columns: dict[str, str], names: dict[str,
     first that is there is its value.  An object with a ``value`` (or ``name``) field counts as that
     value; text, numbers and booleans are cast; what can't be cast is null.
     """
-    rows = with_json(messages, "record_id", "file_id")
+    rows = with_json(spread(messages.select("record_id", "file_id", "payload")), "record_id", "file_id")
 
     def read(path: str, kind: str) -> str:
         whole = f"try_variant_get(v, '$.{path}', '{kind}')"

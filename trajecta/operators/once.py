@@ -18,7 +18,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import FileSystem, cut, scratch_path
+from ..runtime import FileSystem, cut, scratch_path, spread
 
 #: Codes of a shard live in a range of their own, so shards grow without touching one another.
 SHARD_SPAN_BITS = 40
@@ -165,7 +165,7 @@ def run_identifier():
 
 def message_identifiers(messages: DataFrame) -> DataFrame:
     """(row_id, identifier) of run messages, written once: the payloads are parsed a single time."""
-    parsed = with_json(messages.select(F.col("record_id").alias("row_id"), "payload"), "row_id")
+    parsed = with_json(spread(messages.select(F.col("record_id").alias("row_id"), "payload")), "row_id")
     return cut(parsed.select("row_id", run_identifier().alias("identifier")), "run-ids")
 
 

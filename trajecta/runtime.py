@@ -72,6 +72,15 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in ntz}) if ntz else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for work that is heavy per row.
+
+    Only an input of fewer splits than cores is shuffled; larger ones are left as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class FileSystem:
     """The few Hadoop file-system calls the table layers need (any scheme Spark can write to)."""
 
