@@ -20,9 +20,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import spread
 from . import lexicon
 
 #: Score from which a document counts as abusive.
@@ -42,11 +44,15 @@ _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_·*]){2,}[^\W_](?![^\W_])")
 _QUOTES = frozenset('"“”„«»‟')
 
 
+_INVISIBLE = regex.compile(r"[\p{M}\p{Cf}]+")
+
+
 def fold(text: str) -> str:
     """Lower case without accents, invisible characters and compatibility forms."""
+    if text.isascii():
+        return text.lower()
     plain = unicodedata.normalize("NFKC", text).translate(_FOLD)
-    plain = "".join(c for c in unicodedata.normalize("NFD", plain) if not unicodedata.category(c).startswith("M") and unicodedata.category(c) != "Cf")
-    return plain.lower()
+    return _INVISIBLE.sub("", unicodedata.normalize("NFD", plain)).lower()
 
 
 class Trie:
@@ -124,15 +130,21 @@ class Scorer:
         self.code = {w: chr(0xE000 + i) for i, w in enumerate(sorted(vocabulary))}
         self.trie, self.strong_trie = Trie(w for w in vocabulary if len(w) >= 4), Trie(w for w in self.strong if len(w) >= 3)
         self.cjk = re.compile("|".join(map(re.escape, unicodedata.normalize("NFKC", lexicon.CJK_TERMS).split())))
-        self.rules = [(float(w), k, re.compile(self._compile(p))) for w, k, p in rules]
-        self.triggers = re.compile("[" + "".join(self.code[w] for w in self._trigger_words(rules)) + "]")
+        self.rules = [(float(w), k, re.compile(self._compile(p)), self._anchor(p)) for w, k, p in rules]
         self.insult = re.compile(self._class("INS"))
         self.memo: dict[str, str] = {}
 
-    def _trigger_words(self, rules) -> set[str]:
-        """Words of which every rule needs at least one; sentences without any are passed over."""
-        common = set(self.classes["LNK"]) | set(self.classes["YOU"]) | self.self_words | set("of to up on in with and that for by they we not be should would will can from de la a the".split())
-        return {w for w in self.code if w not in common}
+    def _anchor(self, pattern: str) -> frozenset[str]:
+        """Codes of which a match of the rule holds at least one: those of its least usual part."""
+        usual = set(self.classes["LNK"]) | set(self.classes["YOU"]) | self.self_words | set(lexicon.USUAL.split())
+        sets = []
+        for part in pattern.split():
+            if part[0] == "~" or part.endswith("?") or part in (",", "END", "ADJS", "LNK"):
+                continue
+            words = self.classes.get(part) or [w for w in part.split("/")]
+            words = [*words, "shit", "space", "bitch"] if part == "INS" else [*words, "south", "skin", "people"] if part == "GRP" else words
+            sets.append((sum(w in usual for w in words), len(words), frozenset(self.code[w] for w in words)))
+        return min(sets, key=lambda x: x[:2])[2]
 
     def _class(self, name: str) -> str:
         return "[" + "".join(self.code[w] for w in self.classes[name]) + "]"
@@ -181,7 +193,7 @@ class Scorer:
     def _find(self, word: str) -> str | None:
         if word in self.code:
             return word
-        if word in self.innocent or len(word) > 60:
+        if word in self.innocent or len(word) > 60 or 2 * sum(c.isdigit() for c in word) > len(word):
             return None
         if "*" in word:
             body = word.translate(_LEET)
@@ -255,16 +267,15 @@ class Scorer:
             total["insult"] += len(hits)
             total["own"] += len(hits)
         line = self.encode(text)
-        if not self.triggers.search(line):
-            return total
+        present = set(line)
         inside, quoted = False, []
         for ch in line:
             if ch == '"':
                 inside = not inside
             quoted.append(inside)
         taken: set[int] = set()
-        for weight, kind, rule in self.rules:
-            for m in rule.finditer(line):
+        for weight, kind, rule, anchor in self.rules:
+            for m in () if anchor.isdisjoint(present) else rule.finditer(line):
                 if m.start() == m.end() or self._about_self(line, m.start(), m.end(), kind):
                     continue
                 total[kind] += weight
@@ -322,7 +333,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
     rows stay; an empty table gives no rows; further columns are ignored.
     """
     slim = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    return slim.mapInPandas(_run, _SCHEMA)
+    return spread(slim).mapInPandas(_run, _SCHEMA)
 
 
 def flagged(scores: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

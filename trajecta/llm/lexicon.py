@@ -68,6 +68,9 @@ TALK = "insult insults insulting moderator moderators moderation hateful abusive
 # Words that link a person to an insult.
 LINK = "are is a an such the so too really just total complete absolute biggest fat old little big real bist ein eine einen so es un une le la el eres jestes ale tak"
 
+# Words so usual that a rule isn't looked up by them.
+USUAL = "of to up on in with and that for by they we not be should would will can from de la a the an out this all have has one then if it too so is are was were who what there been own see go get down off more than each any no man want like take make bring let until first another same late step time long very good best better"
+
 # Threatening things and body parts.
 WEAPONS = "knife hammer gun iron bar bat axe soldering wrench rope rifle shotgun fist fists"
 BODY = "face hands hand fingers finger knees knee teeth legs leg arms arm neck bones head skull jaw"

@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import spread
+
 #: Fragments kept per worker, and the longest that is.
 MEMO_ENTRIES, MEMO_BYTES = 400_000, 48
 
@@ -149,10 +151,10 @@ def encode_corpus(documents: DataFrame, path: str | None = None, key: str = "doc
     columns are ignored.
     """
     slim = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return slim.mapInArrow(_mapped(path or default_path(), False), "doc_id bigint, ids array<int>")
+    return spread(slim).mapInArrow(_mapped(path or default_path(), False), "doc_id bigint, ids array<int>")
 
 
 def count_tokens(documents: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens): the same, only counted."""
     slim = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return slim.mapInArrow(_mapped(path or default_path(), True), "doc_id bigint, n_tokens int")
+    return spread(slim).mapInArrow(_mapped(path or default_path(), True), "doc_id bigint, n_tokens int")
