@@ -11,8 +11,7 @@ import json
 import uuid
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.compaction import pack_splits
 from ..operators.ingest import new_records
@@ -73,15 +72,16 @@ class VersionedTable:
     def append(self, df: DataFrame, tag: str | None = None) -> tuple[str | None, int]:
         """Append the rows whose key is new (all rows without keys): (tag, rows), or (None, 0) if there are none.
 
-        Rows with a null key are left out; of equal keys within ``df`` one row is kept.  The count comes
-        from the write itself.
+        Rows with a null key are left out; of equal keys within ``df`` one row is kept.
         """
         if self.keys:
             df = new_records(df.dropDuplicates(self.keys), self.read() if self.exists() else None, self.keys)
-        folder, seen = f"_commit-{uuid.uuid4().hex}", Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+        folder, writer = f"_commit-{uuid.uuid4().hex}", df.write.mode("errorifexists")
         (writer.partitionBy(*self.partitions) if self.partitions else writer).parquet(f"{self.path}/data/{folder}")
-        rows = seen.get["n"]
+        # counted from the footers of what was written; an Observation would leave a manager in the session that
+        # later MLlib tasks can't serialise
+        held = sum(n for _, n in self.fs.sizes(f"{self.path}/data/{folder}"))
+        rows = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/{folder}").count() if held else 0
         if not rows:
             self.fs.delete(f"{self.path}/data/{folder}")
             return None, 0
