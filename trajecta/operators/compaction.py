@@ -17,10 +17,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import FileSystem, conf_scope, scratch_path
+from ..runtime import FileSystem, conf_scope, cut, scratch_path
 from .once import with_json
 
 MIB = 1 << 20
@@ -123,7 +123,7 @@ def consolidation_roles(metadata: DataFrame, files: DataFrame, name: str = "file
     parsed in Python, one short text per batch, never data.
     """
     log = metadata.where(F.col("processing_name") == name).select("processing_batch_id", "source_data_info").distinct()
-    roles = log.mapInPandas(_report_rows, "batch string, role string, ref string").distinct()
+    roles = cut(log.mapInPandas(_report_rows, "batch string, role string, ref string").distinct(), "roles")  # read five times below
     undone = roles.where("role = 'rollback'").select(F.lower("ref").alias("batch")).distinct()
     good = (
         roles.where("role = 'end'").groupBy("batch").agg(F.min(F.col("ref") == "good").alias("good"))
@@ -150,9 +150,26 @@ def valid_files(messages: DataFrame, metadata: DataFrame, files: DataFrame) -> D
     return file_sizes(messages).join(consolidation_roles(metadata, files), "file_id", "left_anti")
 
 
+def split_plan(valid: DataFrame, target_bytes: int = MIB, open_cost: int = 4096, under: int = 32_768, buckets: int = 256) -> DataFrame:
+    """(file_id, bytes, n_records, small, split_no): the combined split each valid file is packed into.
+
+    As the engine packs: files are laid end to end, each with the cost of opening it, and a split ends where
+    the target is reached.  Positions are prefix sums over buckets of files, so no task sees all of them.
+    ``small`` marks files of fewer than ``under`` bytes, those that a consolidation is for.
+    """
+    rows = valid.select("file_id", "bytes", "n_records").withColumn("b", F.pmod(F.xxhash64("file_id"), F.lit(buckets)).cast("int"))
+    cost = F.col("bytes") + F.lit(open_cost)
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # over one row per bucket
+    offsets = F.broadcast(rows.groupBy("b").agg(F.sum(cost).alias("w")).select("b", F.coalesce(F.sum("w").over(before), F.lit(0)).alias("o")))
+    inside = F.sum(cost).over(Window.partitionBy("b").orderBy("file_id").rowsBetween(Window.unboundedPreceding, 0)) - cost
+    return rows.withColumn("w", inside).join(offsets, "b").select(
+        "file_id", "bytes", "n_records", (F.col("bytes") < under).alias("small"), F.floor((F.col("o") + F.col("w")) / target_bytes).cast("bigint").alias("split_no")
+    )
+
+
 def small_files(messages: DataFrame, metadata: DataFrame, files: DataFrame, under: int = 32_768) -> DataFrame:
     """(file_id) of the valid files of fewer than ``under`` bytes: what a consolidation has to take in."""
-    return valid_files(messages, metadata, files).where(F.col("bytes") < under).select("file_id")
+    return split_plan(valid_files(messages, metadata, files), under=under).where("small").select("file_id")
 
 
 class LostRecords(RuntimeError):
@@ -217,11 +234,11 @@ def consolidate_runs(messages: DataFrame, metadata: DataFrame, files: DataFrame,
     """
     spark = messages.sparkSession
     out = out or scratch_path(spark, "consolidated")
-    valid = valid_files(messages, metadata, files)
-    total = valid.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("n_records"), F.lit(0)), F.count(F.lit(1))).first()
+    valid = cut(split_plan(valid_files(messages, metadata, files), target_bytes, open_cost=0), "valid-files")
+    total = valid.agg(F.coalesce(F.max("split_no"), F.lit(-1)) + 1, F.coalesce(F.sum("n_records"), F.lit(0)), F.count(F.lit(1))).first()
     if not total[1]:
         return spark.createDataFrame([], "output_file string, n_records bigint, n_bytes bigint, first_record_id bigint, last_record_id bigint")
-    n_files = max(1, round(total[0] / target_bytes))
+    n_files = max(1, total[0])
     per_file = max(1, math.ceil(total[1] / n_files))
 
     def read() -> DataFrame:
