@@ -37,7 +37,7 @@ def local_session(cpus: int | str = 8, app: str = "trajecta", **conf: str) -> Sp
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share; a local session without one gets a temporary folder."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
