@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import spread
+
 MAGIC, FRAME = b"Obj\x01", b"\x00"
 _SIMPLE = {"boolean": "boolean", "int": "int", "bigint": "long", "double": "double", "float": "float", "string": "string", "binary": "bytes"}
 
@@ -239,7 +241,7 @@ def encode_frames(df: DataFrame, schema_id: int | None, name: str = "record") ->
     def pack(rows: pd.Series) -> pd.Series:
         return rows.map(lambda j: frame(schema_id, to_bytes(schema, json.loads(j))))
 
-    return df.select(pack(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})).alias("message"))
+    return spread(df).select(pack(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})).alias("message"))
 
 
 def decode_frames(df: DataFrame, schemas: dict[int, object], target: T.StructType, column: str = "message") -> DataFrame:
@@ -259,7 +261,7 @@ def decode_frames(df: DataFrame, schemas: dict[int, object], target: T.StructTyp
                 out.append((None, str(e) or type(e).__name__))
         return pd.DataFrame(out, columns=["j", "e"])
 
-    rows = df.select(unpack(column).alias("u"))
+    rows = spread(df).select(unpack(column).alias("u"))
     return rows.select(F.from_json("u.j", target).alias("r"), F.col("u.e").alias("decode_error")).select("r.*", "decode_error")
 
 
