@@ -193,7 +193,7 @@ class Scorer:
     def _find(self, word: str) -> str | None:
         if word in self.code:
             return word
-        if word in self.innocent or len(word) > 60 or 2 * sum(c.isdigit() for c in word) > len(word):
+        if word in self.innocent or len(word) > 60 or 3 * sum(c.isdigit() for c in word) > 2 * len(word):
             return None
         if "*" in word:
             body = word.translate(_LEET)
