@@ -98,6 +98,27 @@ def test_unified_table_reads_every_name_and_form(spark):
     assert [(r[2], r[3]) for r in table.orderBy("record_id").collect()] == [(1.5, True), (2.5, False), (3.5, True), (None, None)]
 
 
+def test_unified_columns_cover_every_field_of_every_file(spark):
+    messages, files = lane(spark, [
+        [payload({"warnings": ["a"], "minimum": -1}, {"ansatz_name": "A", "seed": 7}), payload({"warnings": None, "minimum": -1.5}, {"ansatz_name": "B", "seed": "8"})],
+        [payload({"late": True}, {"ansatzName": {"family": "A", "entanglement": "linear"}, "resilience": {"level": 1}, "code": "x"})],
+        [payload({"late": False}, {"ansatzName": ["B", "linear"], "code": 5}), "{"],
+    ])
+    messages = messages.unionByName(spark.createDataFrame([(50, None, 0, payload({"unlisted": 2}), None)], MSG))
+    names = {"vqe_result.initial_data.ansatz_name": ["vqe_result.initial_data.ansatzName", "vqe_result.initial_data.ansatz_name"]}
+    table = drift.compiled_table(messages, drift.unified_columns(messages, names)).drop("file_id")
+    assert dict(table.dtypes) == {
+        "record_id": "bigint", "late": "boolean", "minimum": "double", "unlisted": "bigint", "warnings": "array<string>", "ansatz_name": "string",
+        "ansatz_name_entanglement": "string", "code": "string", "resilience": "struct<level:bigint>", "seed": "bigint",
+    }
+    rows = {r.record_id: {k: v for k, v in r.asDict(True).items() if v is not None and k != "record_id"} for r in table.collect()}
+    assert rows == {
+        0: {"warnings": ["a"], "minimum": -1.0, "ansatz_name": "A", "seed": 7}, 1: {"minimum": -1.5, "ansatz_name": "B", "seed": 8},
+        2: {"late": True, "ansatz_name": "A", "ansatz_name_entanglement": "linear", "resilience": {"level": 1}, "code": "x"},
+        3: {"late": False, "ansatz_name": "B", "ansatz_name_entanglement": "linear", "code": "5"}, 4: {}, 50: {"unlisted": 2},
+    }
+
+
 @pytest.mark.parametrize(("text", "inputs", "output", "end"), [
     ("consolidated files 106-108, 110 into 205; aborted", "106 107 108 110", "205", "bad"),
     ("job=merge in=1-2|7 out=9 state=success", "1 2 7", "9", "good"),

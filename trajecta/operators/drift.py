@@ -311,6 +311,187 @@ def aliases(changes: DataFrame) -> dict[str, list[str]]:
     return {max(sorted(g), key=lambda p: left.get(p, 0)): g for g in groups.values()}
 
 
+#: Keys under which an object keeps the value that other records write plainly, if the values don't tell.
+MAIN_KEYS = ("value", "name")
+#: Longest array that may stand for a plain value, by places; longer ones come out as JSON text.
+MAX_PLACES = 16
+
+
+@dataclass(frozen=True)
+class Source:
+    """One column of the unified table: ``paths`` of the quantity, its SQL type, and the parts it is read from.
+
+    ``key`` (of objects) and ``place`` (of arrays) name the part; ``plain`` says that other values count
+    as well.  ``whole`` values are read as they are, whatever they are.
+    """
+
+    paths: tuple[str, ...]
+    kind: str
+    whole: bool = True
+    plain: bool = True
+    key: str | None = None
+    place: int | None = None
+
+
+def scalar_type(n: dict[str, int]) -> str:
+    """The narrowest SQL type that every counted value has; JSON text beyond plain values."""
+    if n["nested"]:
+        return "string"
+    if n["booleans"]:
+        return "boolean" if n["bits"] == n["numbers"] and n["boolean_texts"] == n["texts"] else "string"
+    if not n["numbers"] or n["double_texts"] < n["texts"]:
+        return "string"
+    return "bigint" if n["integers"] == n["numbers"] and n["integer_texts"] == n["texts"] else "double"
+
+
+def nested_type(schema: str) -> str:
+    """SQL type of a ``schema_of_variant_agg``; what has no common type is JSON text."""
+    schema = re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", schema))
+    return re.sub(r"\b(?:VARIANT|VOID)\b(?!`?:)|STRUCT<>", "STRING", schema)
+
+
+def _counts(kind: F.Column, value: str = "value") -> list[F.Column]:
+    """Counts that ``scalar_type`` needs, of a variant column and the JSON type in ``kind``."""
+    text = f"try_variant_get({value}, '$', 'string')"
+    of = lambda k, test="true": F.count_if(F.expr(f"{kind} = '{k}' and {test}"))
+    return [
+        of("boolean").alias("booleans"), of("number").alias("numbers"), of("string").alias("texts"), F.count_if(F.expr(f"{kind} in ('object', 'array')")).alias("nested"),
+        of("number", f"try_variant_get({value}, '$', 'double') in (0, 1)").alias("bits"), of("number", f"schema_of_variant({value}) = 'BIGINT'").alias("integers"),
+        of("string", f"try_cast({text} as boolean) is not null").alias("boolean_texts"), of("string", f"try_cast({text} as bigint) is not null and {text} not like '%.%'").alias("integer_texts"),
+        of("string", f"try_cast({text} as double) is not null").alias("double_texts"),
+    ]
+
+
+COUNTS = ("booleans", "numbers", "texts", "nested", "bits", "integers", "boolean_texts", "integer_texts", "double_texts")
+
+
+def _quantities(messages: DataFrame, names: dict[str, list[str]], roots: tuple[str, ...]) -> DataFrame:
+    """(quantity, kind, value): every field of every record that isn't null, whatever its file."""
+    rows = with_json(spread(messages.select("record_id", "file_id", "payload")), "record_id", "file_id")
+    maps = rows.select(*[F.expr(f"try_variant_get(v, '$.{r}', 'map<string,variant>')").alias(f"m{i}") for i, r in enumerate(roots)])
+    entries = F.concat(*[F.expr(f"coalesce(transform(map_entries(m{i}), e -> struct('{r}.' || e.key as path, e.value as value)), array())") for i, r in enumerate(roots)])
+    known = {p: c for c, g in names.items() for p in g}
+    quantity = F.col("e.path")
+    if known:
+        quantity = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), F.col("e.path")), quantity)
+    rows = maps.select(F.explode(entries).alias("e")).where(~F.col("e.path").isin(*roots)).select(quantity.alias("quantity"), F.col("e.value").alias("value"))
+    return rows.withColumn("kind", F.expr(_json_type("schema_of_variant(value)"))).where("kind != 'null'")
+
+
+def _add(*counts: dict[str, int]) -> dict[str, int]:
+    return {k: sum(c[k] for c in counts) for k in COUNTS}
+
+
+def unified_columns(messages: DataFrame, names: dict[str, list[str]], roots: tuple[str, ...] = ROOTS) -> dict[str, Source]:
+    """Column name -> source: every quantity of the corpus with the most general type it has.
+
+    A quantity that is always an object or always an array keeps that form.  Where it is plain in some
+    records and an object or array in others, the part that holds the plain values (by the share of
+    its values that occur plainly, else by MAIN_KEYS) is read into the column and every other part into
+    a column of its own, so nothing is dropped.  Collected: one row per field name and part.
+    """
+    fields = _quantities(messages, names, roots)
+    whole = fields.groupBy("quantity").agg(
+        *_counts("kind"), F.count_if(F.col("kind") == "object").alias("objects"), F.count_if(F.col("kind") == "array").alias("arrays"),
+        F.max(F.expr("case when kind = 'array' then size(try_variant_get(value, '$', 'array<variant>')) end")).alias("longest"), F.expr("schema_of_variant_agg(value)").alias("schema"),
+    ).limit(MAX_NAMES + 1).collect()
+    if len(whole) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} field names; split the corpus by producer")
+    mixed = [r["quantity"] for r in whole if r["nested"] and r["booleans"] + r["numbers"] + r["texts"] and (r["longest"] or 0) <= MAX_PLACES]
+    parts, likeness = _parts(fields.where(F.col("quantity").isin(*mixed))) if mixed else ({}, {})
+    out: dict[str, Source] = {}
+    taken = {"record_id", "file_id"}
+
+    def add(quantity: str, suffix: str, source: Source) -> None:
+        parent, last = quantity.rsplit(".", 1)
+        for name in (last + suffix, f"{parent.rsplit('.', 1)[-1]}_{last}{suffix}", quantity + suffix):
+            if name.lower() not in taken:
+                break
+        else:
+            name = next(f"{quantity}{suffix}_{i}" for i in range(2, 9999) if f"{quantity}{suffix}_{i}".lower() not in taken)
+        taken.add(name.lower())
+        out[name] = source
+
+    for r in sorted(whole, key=lambda r: r["quantity"]):
+        q, own = r["quantity"], parts.get(r["quantity"], {})
+        paths = (q, *[p for p in names.get(q, []) if p != q])
+        if not r["nested"]:
+            add(q, "", Source(paths, scalar_type(r.asDict())))
+            continue
+        main = {form: _main(form, own, likeness.get(q, {})) for form in ("key", "place")}
+        if (r["objects"] and main["key"] is None) or (r["arrays"] and main["place"] is None):  # nothing says which part is meant
+            pure = max(r["objects"], r["arrays"]) == sum(r[k] for k in ("booleans", "numbers", "texts", "nested"))
+            add(q, "", Source(paths, nested_type(r["schema"]) if pure else "string"))
+            continue
+        used = [own[("plain", "")], *[own[(f, m)] for f, m in main.items() if m is not None]]
+        add(q, "", Source(paths, scalar_type(_add(*used)), False, True, main["key"], None if main["place"] is None else int(main["place"])))
+        places = {p for f, p in own if f == "place" and p != main["place"]}
+        for key in sorted(k for f, k in own if f == "key" and k != main["key"]):
+            same = max(((likeness.get(q, {}).get((("place", p), ("key", key)), 0.0), p) for p in places), default=(0.0, ""))
+            place = same[1] if same[0] > 0.5 else None
+            places.discard(place)
+            used = [own[("key", key)], *([own[("place", place)]] if place else [])]
+            add(q, f"_{key}", Source(paths, scalar_type(_add(*used)), False, False, key, int(place) if place else None))
+        for p in sorted(places, key=int):
+            add(q, f"_{p}", Source(paths, scalar_type(own[("place", p)]), False, False, None, int(p)))
+    return out
+
+
+def _main(form: str, own: dict[tuple[str, str], dict[str, int]], likeness: dict) -> str | None:
+    """The part of objects (``key``) or arrays (``place``) that holds what is written plainly elsewhere; None if unknown."""
+    found = []
+    for f, part in own:
+        share = likeness.get(((f, part), ("plain", "")), 0.0)
+        if f == form and not own[(f, part)]["nested"] and (share > 0.5 or part in MAIN_KEYS):
+            found.append((share > 0.5, part in MAIN_KEYS, share, part))
+    return max(found)[-1] if found else None
+
+
+def _parts(fields: DataFrame) -> tuple[dict, dict]:
+    """Counts of each (form, part) by quantity, and the share of a part's values that another one has."""
+    forms = F.expr("""case kind
+        when 'object' then transform(map_entries(try_variant_get(value, '$', 'map<string,variant>')), e -> struct('key' as form, e.key as part, e.value as value))
+        when 'array' then transform(try_variant_get(value, '$', 'array<variant>'), (x, i) -> struct('place' as form, cast(i as string) as part, x as value))
+        else array(struct('plain' as form, '' as part, value as value)) end""")
+    leaves = fields.select("quantity", F.explode(forms).alias("p")).select("quantity", "p.form", "p.part", "p.value").withColumn("kind", F.expr(_json_type("schema_of_variant(value)")))
+    text = "try_variant_get(value, '$', 'string')"
+    rows = cut(leaves.groupBy("quantity", "form", "part", F.expr(f"coalesce(cast(try_cast({text} as double) as string), {text})").alias("text")).agg(F.count_if(F.col("kind") != "null").alias("n"), *_counts("kind")), "drift-parts")
+    counts: dict = {}
+    for r in rows.groupBy("quantity", "form", "part").agg(*[F.sum(c).alias(c) for c in COUNTS]).collect():
+        counts.setdefault(r["quantity"], {})[(r["form"], r["part"])] = {c: r[c] for c in COUNTS}
+    here, there = rows.where("n > 0").alias("a"), rows.where("n > 0").alias("b")
+    total = rows.groupBy("quantity", "form", "part").agg(F.sum("n").alias("total"))
+    met = here.join(there, F.expr("a.quantity = b.quantity and a.text = b.text and a.form != b.form")).groupBy("a.quantity", "a.form", "a.part", F.col("b.form").alias("form2"), F.col("b.part").alias("part2")).agg(F.sum("a.n").alias("n"))
+    likeness: dict = {}
+    for r in met.join(total, ["quantity", "form", "part"]).collect():
+        likeness.setdefault(r["quantity"], {})[((r["form"], r["part"]), (r["form2"], r["part2"]))] = r["n"] / r["total"]
+    return counts, likeness
+
+
+def compiled_table(messages: DataFrame, columns: dict[str, Source], roots: tuple[str, ...] = ROOTS) -> DataFrame:
+    """(record_id, file_id, one column for each source) of every record, all null for invalid JSON.
+
+    Names of a quantity never meet in a record, so the first one that is there is its value.
+    """
+    rows = with_json(spread(messages.select("record_id", "file_id", "payload")), "record_id", "file_id")
+    maps = rows.select("record_id", "file_id", *[F.expr(f"try_variant_get(v, '$.{r}', 'map<string,variant>')").alias(f"m{i}") for i, r in enumerate(roots)])
+
+    def get(value: F.Column, kind: str) -> F.Column:
+        return F.try_variant_get(value, "$", kind)
+
+    def read(path: str, s: Source) -> F.Column:
+        parent, key = max(((r, path[len(r) + 1 :]) for r in roots if path.startswith(r + ".")), key=lambda x: len(x[0]))
+        value = F.try_element_at(F.col(f"m{roots.index(parent)}"), F.lit(key))
+        if s.whole:
+            return get(value, s.kind)
+        form = F.schema_of_variant(value)
+        part = F.when(form.like("OBJECT%"), get(F.try_element_at(get(value, "map<string,variant>"), F.lit(s.key)), s.kind) if s.key is not None else F.lit(None))
+        part = part.when(form.like("ARRAY%"), get(F.get(get(value, "array<variant>"), F.lit(s.place)), s.kind) if s.place is not None else F.lit(None))
+        return part.otherwise(get(value, s.kind)) if s.plain else part
+
+    return maps.select("record_id", "file_id", *[F.coalesce(*[read(p, s) for p in s.paths]).alias(name) for name, s in columns.items()])
+
+
 def unified_table(messages: DataFrame, columns: dict[str, str], names: dict[str, list[str]]) -> DataFrame:
     """(record_id, file_id, one column for each entry of ``columns``: canonical path -> SQL type) of every record, all null for invalid JSON.
 

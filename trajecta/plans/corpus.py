@@ -14,20 +14,10 @@ def p1_found(spark: SparkSession, base: str) -> DataFrame:
     return drift.schema_changes(records).select("file_id", "field_path", "change_kind")
 
 
-#: Canonical columns of the consistent table and the types they are read as.
-UNIFIED = {
-    "vqe_result.initial_data.init_strategy": "string",
-    "vqe_result.initial_data.ansatz_name": "string",
-    "vqe_result.initial_data.exact_estimator": "boolean",
-    "vqe_result.initial_data.default_shots": "bigint",
-    "vqe_result.nuclear_repulsion_energy": "double",
-}
-
-
 def p1_unified(spark: SparkSession, base: str) -> DataFrame:
     messages = read_table(spark, base, "run_messages")
     records = cut(drift.record_fields(messages, read_table(spark, base, "run_files")), "drift-records")
-    return drift.unified_table(messages, UNIFIED, drift.aliases(drift.schema_changes(records)))
+    return drift.compiled_table(messages, drift.unified_columns(messages, drift.aliases(drift.schema_changes(records))))
 
 
 def _storage(spark: SparkSession, base: str):
