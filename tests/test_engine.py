@@ -1,6 +1,7 @@
 """Trajectories, ingest, tables, codecs, streaming, metrics and models on hand-made rows."""
 
 import json
+import statistics
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trajecta.functions import metrics, observability
 from trajecta.operators import ingest, models, trajectory
-from trajecta.plans import pipelines
+from trajecta.plans import engine, pipelines
 from trajecta.sources import avro, readers
 from trajecta.sources.tables import VersionedTable
 from trajecta.streaming import ingest as streams
@@ -263,3 +264,21 @@ def test_models_leave_one_group_out(spark):
     assert models.predict(fitted.models["forest"], df.na.fill(0.0), "run_id").count() == 60
     with pytest.raises(ValueError):
         models.fit_classifiers(df.limit(5), numeric, [], "molecule_name", "run_id")
+
+
+def test_registered_fits_are_those_of_the_operators(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(models, "fit_classifiers", lambda df, numeric, categorical, *a, estimators, suffix: asked.append((len(numeric), categorical, suffix, estimators)) or models.Fitted([{"model": "m", "held_out": "g", "n_rows": 1.0, "roc_auc": 0.5, "brier": 0.1, "mcc": 0.0}]))
+    for name in ("forest_fit", "gbt_fit"):
+        engine.queries()[name](spark, "/root/testdata/sf0.001")
+    assert [s for *_, s, _ in asked] == ["_k10", "_k20", "_k50"] * 2 and all(n >= 14 and c == ["optimizer", "basis_set"] for n, c, *_ in asked)
+    assert asked[0][3]["forest"].getNumTrees() == 200 and asked[3][3]["boosted"].getMaxIter() == 300
+    assert "gbt_regressor_fit" in engine.queries()
+
+
+def test_ridge_penalty_follows_the_training_rows(spark):
+    df = spark.range(40).selectExpr("cast(id as double) as x", "3.0 * id + id % 3 as y", "case when id < 30 then 'a' else 'b' end as g")
+    seen = []
+    models.fit_regressors(df, ["x"], [], "g", "y", {"ridge": lambda n, std: seen.append((n, round(std, 6))) or models.ridge(n, std, label="y")})
+    ys = [3.0 * i + i % 3 for i in range(40)]
+    assert sorted(seen) == sorted((len(v), round(statistics.pstdev(v), 6)) for v in (ys[:30], ys[30:], ys))

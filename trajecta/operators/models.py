@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -78,52 +80,69 @@ class Fitted:
         return spark.createDataFrame(self.folds)
 
 
+def _made(model, train: DataFrame, label: str):
+    """An estimator as it is, or made from the rows and the label's deviation of what it is fitted on."""
+    if not callable(model):
+        return model
+    n, std = train.agg(F.count(F.lit(1)), F.coalesce(F.stddev_pop(label), F.lit(1.0))).first()
+    return model(n, std)
+
+
+def _side_by_side(rows: DataFrame, jobs: list[Callable]) -> list:
+    """Results in order; fits are many small Spark jobs, so as many run at a time as there are cores."""
+    with ThreadPool(max(1, min(len(jobs), rows.sparkSession.sparkContext.defaultParallelism))) as pool:
+        return pool.map(lambda job: job(), jobs, chunksize=1)
+
+
 def fit_classifiers(features: DataFrame, numeric: list[str], categorical: list[str], group: str, key: str, label: str = "label", estimators: dict | None = None, suffix: str = "", min_train: int = 5, min_rows: int = 10) -> Fitted:
     """Leave one group out for each estimator, then fit on everything.
 
     Folds with fewer than ``min_train`` training rows, no test rows or one class in training are passed
-    over; fewer than ``min_rows`` rows or two groups is an error.  Groups (molecules) are few.
+    over; fewer than ``min_rows`` rows or two groups is an error.  Groups (molecules) are few.  An
+    estimator may also be a function of the training rows and the label's deviation among them.
     """
     rows, n = training_frame(metrics.median_impute(features.na.drop(subset=[label, group]), numeric))
     try:
         groups = [r[0] for r in rows.select(group).distinct().orderBy(group).collect()]
         if n < min_rows or len(groups) < 2:
             raise ValueError(f"{n} rows in {len(groups)} groups are too few")
-        made = estimators or {"boosted": boosted(label), "forest": forest(label), "logistic": logistic(n, label)}
-        out = Fitted()
-        for g in groups:
-            train, test = rows.where(F.col(group) != g), rows.where(F.col(group) == g)
-            if train.count() < min_train or train.select(label).distinct().count() < 2:
-                continue
-            for name, model in made.items():
-                scored = Pipeline(stages=[*preprocessor(numeric, categorical), model]).fit(balanced(train, label)).transform(test)
-                scored = scored.select(F.col(label).cast("double").alias("label"), vector_to_array("probability")[1].alias("score"))
-                found = metrics.classification_metrics(scored).first()
-                out.folds.append({"model": name + suffix, "held_out": g, **{k: float(v) if v is not None else None for k, v in found.asDict().items()}})
-        for name, model in made.items():
-            out.models[name + suffix] = Pipeline(stages=[*preprocessor(numeric, categorical), model]).fit(balanced(rows, label))
-        return out
+        made = estimators or {"boosted": boosted(label), "forest": forest(label), "logistic": lambda n, _: logistic(n, label)}
+        usable = [g for g in groups if (train := rows.where(F.col(group) != g)).count() >= min_train and train.select(label).distinct().count() == 2]
+
+        def fit(train: DataFrame, model) -> PipelineModel:
+            return Pipeline(stages=[*preprocessor(numeric, categorical), _made(model, train, label)]).fit(balanced(train, label))
+
+        def fold(g, name: str, model) -> dict:
+            scored = fit(rows.where(F.col(group) != g), model).transform(rows.where(F.col(group) == g))
+            scored = scored.select(F.col(label).cast("double").alias("label"), vector_to_array("probability")[1].alias("score"))
+            found = metrics.classification_metrics(scored).first()
+            return {"model": name + suffix, "held_out": g, **{k: float(v) if v is not None else None for k, v in found.asDict().items()}}
+
+        folds = [lambda g=g, m=m: fold(g, *m) for g in usable for m in made.items()]
+        done = _side_by_side(rows, [*folds, *[lambda m=m: fit(rows, m) for m in made.values()]])
+        return Fitted(done[: len(folds)], {name + suffix: m for name, m in zip(made, done[len(folds) :], strict=True)})
     finally:
         rows.unpersist()
 
 
 def fit_regressors(features: DataFrame, numeric: list[str], categorical: list[str], group: str, label: str = "label", estimators: dict | None = None, suffix: str = "") -> Fitted:
     """The same for a continuous target."""
-    rows, n = training_frame(metrics.median_impute(features.na.drop(subset=[label, group]), numeric))
+    rows, _ = training_frame(metrics.median_impute(features.na.drop(subset=[label, group]), numeric))
     try:
-        std = rows.agg(F.coalesce(F.stddev_pop(label), F.lit(1.0))).first()[0]
         groups = [r[0] for r in rows.select(group).distinct().orderBy(group).collect()]
-        made = estimators or {"ridge": ridge(n, std, label=label), "boosted": boosted_regressor(label)}
-        out = Fitted()
-        for g in groups if len(groups) > 1 else []:
-            train, test = rows.where(F.col(group) != g), rows.where(F.col(group) == g)
-            for name, model in made.items():
-                scored = Pipeline(stages=[*preprocessor(numeric, categorical), model]).fit(train).transform(test)
-                found = metrics.regression_metrics(scored, label, "prediction").first()
-                out.folds.append({"model": name + suffix, "held_out": g, **{k: float(v) if v is not None else None for k, v in found.asDict().items()}})
-        for name, model in made.items():
-            out.models[name + suffix] = Pipeline(stages=[*preprocessor(numeric, categorical), model]).fit(rows)
-        return out
+        made = estimators or {"ridge": lambda n, std: ridge(n, std, label=label), "boosted": boosted_regressor(label)}
+
+        def fit(train: DataFrame, model) -> PipelineModel:
+            return Pipeline(stages=[*preprocessor(numeric, categorical), _made(model, train, label)]).fit(train)
+
+        def fold(g, name: str, model) -> dict:
+            scored = fit(rows.where(F.col(group) != g), model).transform(rows.where(F.col(group) == g))
+            found = metrics.regression_metrics(scored, label, "prediction").first()
+            return {"model": name + suffix, "held_out": g, **{k: float(v) if v is not None else None for k, v in found.asDict().items()}}
+
+        folds = [lambda g=g, m=m: fold(g, *m) for g in (groups if len(groups) > 1 else []) for m in made.items()]
+        done = _side_by_side(rows, [*folds, *[lambda m=m: fit(rows, m) for m in made.values()]])
+        return Fitted(done[: len(folds)], {name + suffix: m for name, m in zip(made, done[len(folds) :], strict=True)})
     finally:
         rows.unpersist()
 

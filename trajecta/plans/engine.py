@@ -109,28 +109,49 @@ def pipeline_audit(spark, base):
 NUMERIC = ["energy_slope_k10", "energy_mean_last5_k10", "energy_std_last5_k10", "param_delta_norm_mean_k10", "num_new_minima_k10"]
 
 
-def _labelled(spark, base) -> DataFrame:
-    """Horizon features of event runs; the label says whether the run's minimum is below the median of minima."""
-    rows = trajectory.horizon_features(event_features(spark, base), 10)
+HORIZONS = (10, 20, 50)
+CATEGORICAL = ["optimizer", "basis_set"]
+
+
+def _labelled(spark, base, k: int = 10) -> DataFrame:
+    """Horizon features of event runs; the label says whether the run's minimum is below the median of minima.
+
+    The last values of the running features up to step ``k`` belong to them; optimizer and basis_set are those of ``iter_features``.
+    """
+    features = event_features(spark, base)
+    last = {"energy_moving_std_5": "energy_moving_std_5_at_k", "steps_since_improvement": f"steps_since_improvement_at_k{k}", "mean_param_change": f"mean_param_change_at_k{k}"}
+    ends = features.where(F.col("step") <= k).groupBy("run_id").agg(*[F.max_by(c, "step").alias(name) for c, name in last.items()])
+    rows = trajectory.horizon_features(features, k).join(ends, "run_id")
     best = trajectory.best_step(event_steps(spark, base)).select("run_id", "best_energy")
     middle = best.agg(F.median("best_energy").alias("m"))  # one row
-    segment = read_table(spark, base, "customer").select(F.col("c_custkey").alias("run_id"), F.col("c_mktsegment").alias("segment"))
+    nation = read_table(spark, base, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("basis_set"))
+    segment = read_table(spark, base, "customer").join(nation, "c_nationkey", "left").select(F.col("c_custkey").alias("run_id"), F.col("c_mktsegment").alias("segment"), F.col("c_mktsegment").alias("optimizer"), "basis_set")
     return rows.join(best, "run_id").crossJoin(F.broadcast(middle)).withColumn("label", (F.col("best_energy") < F.col("m")).cast("int")).join(segment, "run_id")
 
 
-def _classifier(name, make):
+def horizon_numeric(df: DataFrame) -> list[str]:
+    """Every numeric feature of ``_labelled``; the number of steps isn't one."""
+    return [c for c in df.columns if c not in ("run_id", "n_steps", "best_energy", "m", "label", "segment", *CATEGORICAL)]
+
+
+def _classifier(name, model):
     def run(spark, base):
-        df = _labelled(spark, base)
-        fitted = models.fit_classifiers(df, NUMERIC, [], "segment", "run_id", estimators={name: make(df)})
-        return fitted.summary(spark).select("model", "held_out", "n_rows", "roc_auc", "brier", "mcc")
+        folds = []
+        for k in HORIZONS:
+            df = _labelled(spark, base, k)
+            folds += models.fit_classifiers(df, horizon_numeric(df), CATEGORICAL, "segment", "run_id", estimators={name: model}, suffix=f"_k{k}").folds
+        return models.Fitted(folds).summary(spark).select("model", "held_out", "n_rows", "roc_auc", "brier", "mcc")
 
     return run
 
 
-def _regressor(name, make):
+def _regressor(name, model):
     def run(spark, base):
-        fitted = models.fit_regressors(_labelled(spark, base), NUMERIC, [], "segment", "best_energy", {name: make()})
-        return fitted.summary(spark).select("model", "held_out", "n_rows", "mae", "rmse")
+        folds = []
+        for k in HORIZONS:
+            df = _labelled(spark, base, k)
+            folds += models.fit_regressors(df, horizon_numeric(df), CATEGORICAL, "segment", "best_energy", {name: model}, suffix=f"_k{k}").folds
+        return models.Fitted(folds).summary(spark).select("model", "held_out", "n_rows", "mae", "rmse")
 
     return run
 
@@ -158,10 +179,11 @@ def queries() -> dict:
         "pipeline_audit": pipeline_audit,
         "fan_out_guard": fan_out_guard,
         "imputed_features": imputed_features,
-        "logistic_fit": _classifier("logistic", lambda df: models.logistic(df.count())),
-        "forest_fit": _classifier("forest", lambda df: models.forest(trees=20)),
-        "gbt_fit": _classifier("boosted", lambda df: models.boosted(rounds=10)),
-        "ridge_fit": _regressor("ridge", lambda: models.ridge(150, 1.0, label="best_energy")),
+        "logistic_fit": _classifier("logistic", lambda n, _: models.logistic(n)),
+        "forest_fit": _classifier("forest", models.forest()),
+        "gbt_fit": _classifier("boosted", models.boosted()),
+        "ridge_fit": _regressor("ridge", lambda n, std: models.ridge(n, std, label="best_energy")),
+        "gbt_regressor_fit": _regressor("boosted", models.boosted_regressor("best_energy")),
     }
 
 
