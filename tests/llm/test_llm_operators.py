@@ -217,6 +217,16 @@ def test_quotation_is_scored_apart():
     assert quoted["quoted"] >= 1 and quoted["own"] == 0 and own["own"] >= 1 and own["quoted"] == 0
 
 
+def test_every_word_of_a_spaced_out_run_is_joined():
+    s = abuse.scorer()
+    words = lambda t: s._unspace(t).split()
+    assert words("because of you, f.u.c.k.i.n.g m o r o n that you are") == "because of you, fucking moron that you are".split()
+    assert words("f u c k y o u") == ["fuck", "you"] == words("f u c k  y o u") and words("y o u.a.r.e a m o r o n") == "you are a moron".split()
+    assert words("h-c-n and c-h-h-h-h") == ["h-c-n", "and", "c-h-h-h-h"] and s.score("you useless r.a.t!") == s.score("you useless rat !")
+    total = lambda t: sum(s.score(t)[k] for k in abuse.CATEGORIES)
+    assert all(total(t) >= abuse.THRESHOLD for t in ("f.u.c.k.i.n.g m o r o n that you are", "f u c k y o u", "F-U-C-K Y-O-U"))
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     above = None

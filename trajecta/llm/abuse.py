@@ -129,6 +129,8 @@ class Scorer:
         self.innocent = set(_words(lexicon.INNOCENT)) - set(lexicon.INSULTS.split())
         self.code = {w: chr(0xE000 + i) for i, w in enumerate(sorted(vocabulary))}
         self.trie, self.strong_trie = Trie(w for w in vocabulary if len(w) >= 4), Trie(w for w in self.strong if len(w) >= 3)
+        self.second = set(self.classes["YOU"])
+        self.run_trie = Trie([*self.strong, *(w for w in vocabulary if w.isalpha())])
         self.cjk = re.compile("|".join(map(re.escape, unicodedata.normalize("NFKC", lexicon.CJK_TERMS).split())))
         self.rules = [(float(w), k, re.compile(self._compile(p)), self._anchor(p)) for w, k, p in rules]
         self.insult = re.compile(self._class("INS"))
@@ -228,19 +230,37 @@ class Scorer:
             return hit[1]
         return hit[1]
 
+    def _segment(self, plain: str) -> list[str]:
+        """``plain`` as words: as many letters as can be in strong words, then in any words of the vocabulary, in the fewest pieces."""
+        best: list[tuple] = [(0, 0, 0, ())] * (len(plain) + 1)  # of what begins there: strong letters, known letters, -pieces, words
+        for at in range(len(plain) - 1, -1, -1):
+            options = [(best[at + 1][0], best[at + 1][1], best[at + 1][2] - 1, (plain[at], *best[at + 1][3]))]
+            for w in self.run_trie.prefixes(plain, at):
+                rest = best[at + len(w)]
+                options.append((rest[0] + (len(w) if len(w) >= 3 and w in self.strong else 0), rest[1] + len(w), rest[2] - 1, (w, *rest[3])))
+            best[at] = max(options, key=lambda o: o[:3])
+        return list(best[0][3])
+
     def _unspace(self, text: str) -> str:
-        """Letters set apart by blanks, dots or dashes, joined where they spell a lexicon word."""
+        """Letters set apart by blanks, dots or dashes, joined where they spell a lexicon word.
+
+        All words of a run are joined, whatever separators stand between them; a run without a strong
+        word only if it is all words, one of them in the second person.
+        """
 
         def join(m: re.Match) -> str:
             run = m.group()
-            letters, at = run[::2], 0
-            plain = letters.translate(_LOOKALIKE).translate(_LEET)
-            while at < len(plain):
-                word = max((w for w in self.strong_trie.prefixes(plain, at)), key=len, default="")
-                if len(word) >= 3:
-                    return run[: 2 * at] + word + " " + run[2 * (at + len(word)) :]
-                at += 1
-            return run
+            plain = run[::2].translate(_LOOKALIKE).translate(_LEET)
+            words = self._segment(plain)
+            strong = any(len(w) >= 3 and w in self.strong for w in words)
+            if not strong and not (any(len(w) >= 3 and w in self.second for w in words) and all(w in self.code for w in words)):
+                return run
+            out, at = [], 0
+            for w in words:
+                at += len(w)
+                known = len(w) > 1 or w in self.code
+                out.append(w + " " if known else run[2 * (at - 1) : 2 * at])
+            return "".join(out)
 
         return _SPACED.sub(join, text)
 
