@@ -255,6 +255,17 @@ def test_step_identifiers(spark):
     assert [r.row_id for r in once.surplus(once.step_identifiers(df), "identifier", "row_id").collect()] == [2]
 
 
+def test_kept_surplus_and_unidentified_rows_are_the_whole_table(spark):
+    from trajecta.plans import corpus
+
+    base = "/root/testdata/sf0.001"
+    ids = lambda q, *c: [tuple(r) for r in corpus.queries()[q](spark, base).select(*c).collect()]
+    rest = ids("p4_found", "table_name", "row_id") + ids("p4_unidentified", "table_name", "row_id")
+    for table, key, kept in (("run_messages", "record_id", "p4_kept_runs"), ("ml_iteration_features", "load_id", "p4_kept_steps")):
+        whole = [r[0] for r in spark.read.parquet(f"{base}/{table}.parquet").select(key).collect()]
+        assert sorted([r[0] for r in ids(kept, key)] + [r for t, r in rest if t == table]) == sorted(whole)
+
+
 def test_ordinals_are_exact_in_a_hot_group(spark):
     df = spark.range(3000).selectExpr("id", "case when id % 3 = 0 then id % 7 end as g")
     rows = with_ordinals(df, ["g"], ["id"], "n", buckets=16).collect()

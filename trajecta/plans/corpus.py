@@ -66,6 +66,20 @@ def p4_kept_steps(spark: SparkSession, base: str) -> DataFrame:
     return features.join(kept.select(F.col("row_id").alias("load_id")), "load_id", "left_semi").select("load_id", "experiment_id", "iteration_step", "energy")
 
 
+def p4_kept_runs(spark: SparkSession, base: str) -> DataFrame:
+    messages = read_table(spark, base, "run_messages")
+    state = once.SeenState(spark, once.scratch_path(spark, "seen"))
+    kept = once.keep_once(state, once.message_identifiers(messages), "identifier", "row_id")
+    return messages.join(kept.select(F.col("row_id").alias("record_id")), "record_id", "left_semi").select("record_id", "file_id", "line_no", "payload")
+
+
+def p4_unidentified(spark: SparkSession, base: str) -> DataFrame:
+    """Rows without identifier, copies of nothing: with the kept and the surplus rows they are the whole table."""
+    runs = once.message_identifiers(read_table(spark, base, "run_messages")).withColumn("table_name", F.lit("run_messages"))
+    steps = once.step_identifiers(read_table(spark, base, "ml_iteration_features")).withColumn("table_name", F.lit("ml_iteration_features"))
+    return runs.unionByName(steps).where("identifier is null").select("table_name", "row_id")
+
+
 def queries() -> dict:
     return {
         "p1_found": p1_found,
@@ -80,6 +94,8 @@ def queries() -> dict:
         "p3_iteration_parameters": _p3_table("vqe_result.iteration_list.parameters"),
         "p4_found": p4_found,
         "p4_kept_steps": p4_kept_steps,
+        "p4_kept_runs": p4_kept_runs,
+        "p4_unidentified": p4_unidentified,
     }
 
 
@@ -128,4 +144,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT load_id, experiment_id, iteration_step, energy FROM (
               SELECT *, row_number() OVER (PARTITION BY {step_key}, iteration_step ORDER BY load_id) AS rn
               FROM ml_iteration_features WHERE experiment_id IS NOT NULL) WHERE rn = 1""",
+        "p4_kept_runs": f"""
+            SELECT record_id, file_id, line_no, text AS payload FROM (
+              SELECT *, row_number() OVER (PARTITION BY {run_key} ORDER BY record_id) AS rn
+              FROM (SELECT record_id, file_id, line_no, payload AS text, CAST(payload AS JSON) AS payload FROM run_messages WHERE json_valid(payload))) WHERE rn = 1""",
+        "p4_unidentified": """
+            SELECT 'ml_iteration_features' AS table_name, load_id AS row_id FROM ml_iteration_features WHERE experiment_id IS NULL
+            UNION ALL
+            SELECT 'run_messages' AS table_name, record_id AS row_id FROM run_messages WHERE payload IS NULL OR NOT json_valid(payload)""",
     }
