@@ -254,3 +254,10 @@ def test_rates_per_source(spark):
     assert {tuple(r) for r in abuse.source_rates(scores).collect()} == {("a", 2, 1, 0.5, 0), (None, 2, 1, 0.5, 1), ("b", 1, 0, 0.0, 0)}
     assert sorted(r.doc_id for r in abuse.flagged(scores).collect()) == [1, 4]
     assert abuse.source_rates(scores.limit(0)).count() == 0
+
+
+def test_too_many_bundles_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(splits, "MAX_BUNDLES", 1)
+    base = "/root/testdata/sf0.001"
+    with pytest.raises(ValueError, match="bundles"):
+        splits.assign_splits(spark.read.parquet(f"{base}/ml_iteration_features.parquet"), spark.read.parquet(f"{base}/molecule_catalog.parquet"))

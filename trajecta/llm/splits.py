@@ -249,7 +249,9 @@ def assign_splits(features: DataFrame, catalogue: DataFrame, splits=SPLITS, row_
     singles = features.where(alone).select(F.concat(F.lit("r:"), F.col(row_id).cast("string")).alias("component"), F.lit(1).cast("bigint").alias("size"), F.coalesce(F.col(label).cast("bigint"), F.lit(0)).alias("positives"))
     comps = placed.groupBy("component").agg(F.sum("n").alias("size"), F.sum("positives").alias("positives")).unionByName(singles)
     comps = comps.withColumn("profile", F.round(F.col("positives") / F.col("size") * (PROFILE_CLASSES - 1)).cast("int"))
-    rows = comps.groupBy("size", "profile").agg(F.count(F.lit(1)).alias("n")).limit(MAX_BUNDLES).collect()
+    rows = comps.groupBy("size", "profile").agg(F.count(F.lit(1)).alias("n")).limit(MAX_BUNDLES + 1).collect()
+    if len(rows) > MAX_BUNDLES:
+        raise ValueError(f"more than {MAX_BUNDLES} bundles; use fewer PROFILE_CLASSES")
     shares = allocate({(r["size"], r["profile"]): r["n"] for r in rows}, splits)
     spark = features.sparkSession
     ends = [(s, c, [sum(g[: j + 1]) for j in range(len(g))]) for (s, c), g in shares.items()]
