@@ -1,319 +1,258 @@
-"""Words, classes and rules of the abuse scorer, as plain text.
+"""Words by class, phrases and prior weights of the abuse scorer, as plain text.
 
-Words are written without accents; the scorer folds texts the same way.
+Words are written without accents, as the scorer folds texts; entries of several words are phrases, matched
+word by word.  A word belongs to the first class that lists it.  Which contexts make a word abuse
+is no list of sentences: it is learned from reviewed documents, starting from PRIORS.
 """
 
-# Insulting nouns (English, German, French, Spanish, Polish).
-INSULTS = """
-idiot idiots moron morons imbecile imbeciles cretin cretins halfwit halfwits dumbass dumbasses asshole assholes arsehole
-bitch bitches bastard bastards dickhead dickheads prick pricks scumbag scumbags loser losers parasite parasites clown clowns rat pig swine
-shithead fuckface motherfucker motherfuckers cunt cunts twat wanker wankers tosser slut sluts whore whores retard retards
-nitwit dimwit simpleton jackass jerk jerks scum vermin cockroach maggot maggots leech numbskull dipshit douchebag
-bollocks-for-brains crybaby weasel snake degenerate subhuman
-arschloch arschlocher vollidiot vollidioten penner wichser trottel dummkopf schwachkopf hurensohn hure schlampe fotze miststuck drecksack
-spast spasti missgeburt schwein dreckskerl
-connard connards connasse salaud salope abruti abrutis batard encule ordure pute imbeciles cretine
-gilipollas cabron cabrones imbecil pendejo pendeja puta puto zorra capullo cabrona idiota tarado malnacido
-kretyn idiotka debil dupek skurwysyn kurwa suka szmata palant gnoj frajer matol cham
-"""
-
-# Demeaning adjectives and intensifiers.
-ADJECTIVES = """
-stupid worthless useless lazy filthy disgusting miserable spineless brainless goddamn fucking pathetic dumb braindead
-ugly rotten idiotic moronic stinking lousy incompetent clueless damn bloody
-damliche damlicher damlicher dummer dumme fauler faule verdammter verdammte verdammtes verfluchter blode bloder widerlicher mieser
-sale pauvre putain debile stupide foutu misérable miserable
-pobre maldito maldita asqueroso inutil estupido estupida
-pieprzony pieprzona glupi glupia zasrany cholerny tepy
-"""
-
-# Groups of people.
-GROUPS = """
-women woman girls gays gay lesbians homosexuals immigrants immigrant refugees refugee foreigners foreigner easterners muslims jews blacks
-believers disabled cripples villagers migrants natives gypsies asians africans arabs mexicans
-frauen auslander fluchtlinge schwule zugezogene zugezogenen juden muslime behinderte
-femmes etrangers immigres refugies juifs musulmans homosexuels
-mujeres inmigrantes extranjeros refugiados judios musulmanes
-kobiety obcy uchodzcy imigranci cudzoziemcy zydzi geje
-"""
-
-# What groups are called to demean them.
-VILE = """
-plague animals animal cockroaches vermin parasites parasite rats rat scum filth disease subhuman subhumans pest pests trash garbage dirt apes monkeys
-ungeziefer pack gesindel abschaum parasiten
-parasites vermine racaille nuisibles
-plaga parasitos escoria ratas
-robactwo szumowiny pasozyty
-"""
-
-# Explicit sexual words.
-SEXUAL = """
-cock cocks dick dicks pussy tits titties boobs boob nipples cunt penis vagina clit cum dildo blowjob handjob horny porn xxx naked nude nudes
-panties lingerie orgasm masturbate masturbating anal erection butt thighs moaned underwear bra
-titten schwanz muschi fick ficken ficke geil nackt
-seins bite chatte baiser nichons
-tetas polla follarte follar cono culo desnuda
-cycki cipa kutas ruchac pieprzyc
-"""
-
-# Second person.
-YOU = "you your yours yourself youre ur u du dich dir dein deine deinen deiner euch tu toi te ton ta tes vous votre ti tus usted ustedes ty ciebie ciebie twoj twoja"
-
-# First person, for remarks about oneself.
-SELF = "i im me my myself ich mir mich mein meine je moi mon yo mi ja moj"
-
-# Words of talk about abuse, which isn't abuse.
-TALK = "insult insults insulting moderator moderators moderation hateful abusive offensive slur slurs word words term quotes reported removed deleted policy lexicon dataset detector"
-
-# Words that link a person to an insult.
-LINK = "are is a an such the so too really just total complete absolute biggest fat old little big real bist ein eine einen so es un une le la el eres jestes ale tak"
-
-# Words so usual that a rule isn't looked up by them.
-USUAL = "of to up on in with and that for by they we not be should would will can from de la a the an out this all have has one then if it too so is are was were who what there been own see go get down off more than each any no man want like take make bring let until first another same late step time long very good best better"
+#: Class -> words; in order of precedence.  Languages: English, German, French, Spanish, Italian, Portuguese, Polish, Russian.
+CLASSES = {
+    # insulting nouns
+    "INS": """
+        idiot idiots moron morons imbecile imbeciles cretin cretins halfwit halfwits dumbass dumbasses asshole assholes arsehole arseholes
+        bitch bitches bastard bastards dickhead dickheads prick pricks scumbag scumbags loser losers clown clowns swine
+        shithead shitheads fuckface fucktard fuckwit motherfucker motherfuckers fucker fuckers cunt cunts twat twats wanker wankers tosser tossers slut sluts whore whores hoe
+        retard retards nitwit nitwits dimwit dimwits simpleton jackass jerk jerks numbskull dipshit douchebag douche bellend knobhead
+        crybaby weasel degenerate degenerates buffoon imbecil dunce ignoramus dolt dumbo airhead coward cowards pervert perverts creep creeps
+        arschloch arschlocher vollidiot vollidioten idioten penner wichser trottel dummkopf schwachkopf hurensohn hure schlampe fotze miststuck drecksack
+        spast spasti spasten missgeburt schwein dreckskerl depp deppen volltrottel arsch versager dreckschwein flachzange lappen
+        connard connards connasse salaud salope abruti abrutis batard encule enculer ordure pute cretine debile idiote bouffon minable
+        gilipollas cabron cabrones pendejo pendeja puta puto zorra capullo cabrona idiota idiotas tarado malnacido estupido estupida inutil subnormal
+        imbecille stronzo stronza coglione deficiente cretino puttana otario babaca arrombado vadia burro
+        kretyn kretyni debil debile dupek skurwysyn kurwa suka szmata palant gnoj frajer matol cham idioci
+        идиот идиоты дурак дура придурок тупица кретин мудак сволочь тварь ублюдок сука урод мразь дебил шлюха козел подонок
+    """,
+    # words for what is worthless or vile, of people
+    "VILE": """
+        plague animals animal cockroach cockroaches vermin parasites parasite rats rat scum filth disease subhuman subhumans pest pests trash garbage dirt apes ape monkeys monkey
+        maggot maggots leech leeches savages savage pigs pig dogs snake snakes inferior waste dung
+        ungeziefer pack gesindel abschaum parasiten ratten dreck mull tiere untermenschen
+        vermine racaille nuisibles merde dechets rats chiens
+        plaga parasitos escoria ratas basura mierda feccia merda lixo
+        robactwo szumowiny pasozyty smieci holota bydlo zwierzeta
+        отбросы мусор говно дерьмо паразиты крысы скот
+    """,
+    # slurs: words that demean a group by themselves
+    "SLUR": "nigger niggers nigga faggot faggots fag fags kike kikes spic spics chink chinks gook gooks paki pakis wetback wetbacks tranny trannies raghead ragheads kanake kanaken neger schwuchtel bougnoule bougnoules negre youpin maricon maricones sudaca sudacas pedal pedaly ciapaty ciapaci ciota жид жиды чурка чурки пидор пидоры",
+    # demeaning adjectives and intensifiers
+    "ADJ": """
+        stupid worthless useless lazy filthy disgusting miserable spineless brainless goddamn pathetic dumb braindead clueless ignorant
+        ugly rotten idiotic moronic stinking lousy incompetent damn bloody dirty repulsive gutless talentless hopeless fat retarded stupider dumber
+        damliche damlicher dammlicher dummer dumme dummes dumm blod fauler faule verdammter verdammte verdammtes verfluchter blode bloder widerlicher widerlich mieser dreckiger hasslicher wertlos
+        sale pauvre putain stupide foutu miserable nul nulle moche degoutant degueulasse con conne bete
+        pobre maldito maldita asqueroso asquerosa patetico tonto tonta feo fea
+        stupido stupida schifoso inutile brutto burra nojento
+        pieprzony pieprzona jebany jebana glupi glupia glupie zasrany cholerny tepy zalosny brzydki durny
+        тупой тупая глупый жалкий грязный мерзкий уродливый бесполезный
+    """,
+    # words that tell somebody to go away, be silent or die
+    "CURSE": "stfu gtfo kys verpiss verrecke stirb fresse schnauze gueule jodete callate muerete vaffanculo spierdalaj wypierdalaj zdechnij umrzyj zamknij заткнись сдохни нахуй",
+    # swearing, by itself at nobody
+    "SWEAR": """
+        fuck fucks fucking fucked fucken shit shits shitty bullshit ass arse piss pissed crap damned hell screw
+        scheisse scheiss kacke fick fickt klappe foutre nique niquer ferme casse creve
+        joder mierda chinga verga cono vete cazzo zitto foda fodase cala
+        pierdol pierdolony dupe dupa jebac ryj morde блять хуй хер пошел
+    """,
+    # groups of people
+    "GRP": """
+        women woman girls females gays gay lesbians lesbian homosexuals transgender immigrants immigrant refugees refugee foreigners foreigner muslims muslim jews jew blacks christians hindus
+        believers atheists disabled cripples villagers migrants migrant natives gypsies roma asians africans arabs mexicans chinese indians poles turks germans russians blondes southerners northerners easterners
+        frauen auslander fluchtlinge schwule zugezogene juden muslime behinderte turken polen neger
+        femmes etrangers immigres refugies juifs musulmans homosexuels arabes noirs handicapes
+        mujeres inmigrantes extranjeros refugiados judios musulmanes negros gitanos
+        immigrati stranieri ebrei mulheres imigrantes judeus
+        kobiety obcy uchodzcy imigranci cudzoziemcy zydzi geje murzyni
+        женщины бабы евреи мигранты геи негры
+    """,
+    # explicit sexual words
+    "SEX": """
+        cock cocks dick dicks pussy pussies tits titties titty boobs boob nipples nipple penis vagina clit cum dildo blowjob blowjobs handjob handjobs horny porn porno xxx
+        nudes orgasm masturbate masturbating anal erection boner gangbang milf threesome deepthroat jerked jerking wank wanking nymphomaniac
+        titten schwanz muschi ficken ficke geil geile mose nackt
+        nichons chatte bite baiser sucer suce seins nue
+        tetas polla follarte follar culo desnuda coger chupame chupamela
+        tette fica scopare buceta peitos foder
+        cycki cipa kutas ruchac pieprzyc nago
+        сиськи член трахнуть трахать минет
+    """,
+    # words that are sexual in company
+    "BODYSEX": "naked nude butt thighs thigh moaned moan moaning underwear bra panties lingerie lips strip undress undressed sexy kinky bed suck sucking lick licking ride cam webcam escort sweating touch bend spread hard wet unzipped cleavage hot brust popo hintern ausziehen zieh lutsch fesses cuisses deshabille ensename desnudate rozbierz",
+    # violence and death
+    "KILL": """
+        kill killing killed murder die dying dead death hang hurt shoot stab strangle burn drown beat rape break smash crush rip cut destroy sterilised sterilized gas gassed exterminate lynch execute
+        slit punch choke bleed rot perish suffer cripple castrate shut cripple vanish disappear regret push jump
+        umbringen toten tote sterben verrecken abkratzen krepieren erschiessen verbrennen aufhangen abstechen vergasen schlagen
+        tuer mourir creve crever bruler noyer pendre frapper egorger buter
+        matar morir mueras quemar ahorcar golpear pegar colgar
+        ammazzare morire muori uccidere ammazzo morrer
+        zabic zabije zdechnac umrzec spalic powiesic pobic utopic
+        убью убить умри сдохнуть сжечь повесить
+    """,
+    "WPN": "knife knives hammer gun guns axe rifle shotgun pistol bomb rope fist fists bat bullet bullets machete noose messer pistole axt gewehr couteau fusil cuchillo pistola noz siekiera нож пистолет",
+    "BODY": "face faces hands hand fingers finger knees knee teeth legs leg arms arm neck bones bone head skull jaw throat kopf halse knochen zahne gueules dents jambes cara dientes piernas zeby nogi głowe",
+    # second person
+    "YOU": "you your yours yourself yourselves youre youve youll ur u du dich dir dein deine deinen deiner deinem euch eure ihr tu toi te ton ta tes vous votre vos ti tus usted ustedes vosotros tuo tua voi voce seu ty ciebie cie ci tobie twoj twoja twoje wy wam ты тебя тебе твой твоя вы вас вам",
+    # third person, of groups
+    "THEM": "they them their theirs themselves those these people person folks sie ihnen denen leute ils elles leur eux gens ellos ellas gente loro oni ich tych ludzie они их им люди",
+    # first person
+    "SELF": "i im ive id ill me my myself mine we our us mir mich mein meine meinen wir je moi mon ma mes nous yo mi mis nosotros io mio eu meu ja moj moja moje mnie my я меня мне мой",
+    # talk about abuse, which isn't abuse
+    "TALK": "insult insults insulting insulted moderator moderators moderation moderate hateful abusive abuse offensive slur slurs word words term terms removed deleted policy lexicon dataset detector classifier filter labelled annotate linguistics etymology banned report reported reports forbidden",
+    # things, not people
+    "TECH": "process processes job jobs worker workers thread threads node nodes server servers queue queues container pod pods cluster daemon kernel task tasks run runs script scripts session instance service branch loop signal program pipeline command memory cpu gpu disk log logs file files token cache connection valve pipe stopcock wrench drill bit screw tap engine battery screen terminal variable parameter parameters function module package build circuit circuits qubit qubits optimizer ansatz gradient simulation simulator sweep energy schema table prozess dienst rechner lauf skript fil processus tache serveur proceso tarea servidor proces zadanie serwer процесс сервер",
+    "LINK": "are is be am were was bist seid sind ist est es etes sont eres sois son sei siete jestes jestescie sa",
+    "WANT": "want wants wanna will gonna going shall would should could ought must need let lets hope hoping wish pray deserve deserves werde werden will soll sollen sollte sollten hoffe je vais va veux esperons devrait voy vas quiero ojala deberian deberias vado voglio spero vou quero chce bede niech powinni powinienes хочу буду надо",
+    "HATE": "hate hates despise detest loathe disgust disgusts sicken hasse verachte hais deteste odio detesto odeio nienawidze gardze ненавижу презираю",
+    "OUT": "out raus dehors hors fuera fora fuori wynocha precz kitchen kuche cuisine cocina kuchni garow вон",
+    "HOME": "live lives sleep house home address street family mother father parents children kids sister wife car park door wohnst haus familie mutter kinder habites maison famille mere vives casa familia madre mieszkasz dom rodzina matka живешь дом семья мать",
+    "BRAIN": "brain brains iq smart smarter clever wit human humans nature born kind skin colour color race religion village hirn menschen cerveau humains peau cerebro piel mozg ludzmi мозг",
+    "NICE": "thanks thank thx congratulations congrats great please welcome sorry love danke bitte merci gracias dzieki спасибо",
+}
 
-# Threatening things and body parts.
-WEAPONS = "knife hammer gun iron bar bat axe soldering wrench rope rifle shotgun fist fists"
-BODY = "face hands hand fingers finger knees knee teeth legs leg arms arm neck bones head skull jaw"
+#: Classes around whose words a window is read.
+ANCHORS = "INS VILE SLUR ADJ CURSE SWEAR GRP SEX BODYSEX KILL WPN BODY YOU THEM HATE OUT HOME BRAIN TERM".split()
 
-# Words that are spelt like a listed one and mean something else.
-INNOCENT = """
-boron price prices priced brick bricks trick tricks pick picks thick duck luck buck dock docks lock locks rock rocks sock clock clocks block blocks
-crown crowns clone clones close closer looser lower lesser ration ratio rate rates rated rats bat bats cat pit bitch-mark batch batches pitch pitches
-ditch switch retain return record records retry regard regards bastion mustard custard moral morals moon macron micron neuron proton electron
-worship useful usable reuse causeless careless filter filtered discussing discuss certain cretan credit
-butts button buttons boots books boom boos bits bites bite tips titles title numbs nodes node nude-mode nudge nods note nine pony ports port born corn
-panels panics cooks cocktail cocktails stopcock cork peck dicts dict duct ducts deck decks disk disks dock cut cuts count counts sluth slit slots slot
-where while whole wore snake snakes scan scum-line penal pens genus venus women wanted wander hose horse house hours honey horn horns
-animal-model jerk-free leach peach clowned cast case cases fast fact factor ficken-burg parasitic plaque place places pact packs packed
-idiom idioms radiots lazy-load lays laze sale sales salle bits batarde bata data pute-a compute input output puts push pure purge
-con cono icono mono tono debit debut debug label level ideal idea ideas titan titel title titles saints sinks suits seine seinen seins-
-moan moaning roamed brain brains train trains rain gray gains grays gaps days say says pays bays ways
+#: Phrases that are abuse by themselves, each with what it adds.
+PHRASES = """
+3.5 fuck you
+3.5 screw you
+3.5 fuck off
+3.0 piss off
+3.0 shut up
+2.0 shut your
+3.0 eat shit
+3.0 kill yourself
+3.5 drop dead
+3.0 go hell
+3.0 kiss my
+3.0 suck my
+3.0 son bitch
+3.0 piece shit
+2.5 waste space
+2.5 know where
+2.5 get lost
+3.0 jerk off
+3.0 jerked off
+3.0 fick dich
+3.0 halt maul
+3.0 halt klappe
+3.0 bring dich
+3.0 va foutre
+3.0 nique ta
+3.0 casse toi
+3.0 hijo puta
+3.0 vete mierda
+3.0 te matar
+2.5 por culo
+3.0 te tuer
+3.0 w dupe
+3.0 zabije cie
+3.0 пошел нахуй
 """
 
-#: Rules: weight, category, pattern.  In a pattern a word stands for itself (or a misspelling); A/B for either; ``~n``
-#: for up to n other words of the sentence; ``x?`` may be missing; upper case for a class: INS (insult), ADJ, ADJS (any
-#: number of them), GRP (group), VILE, SEX, YOU, LNK (link words, any number), WPN, BODY, END (end of a sentence).
-RULES = """
-1.0 insult YOU LNK ADJS INS
-1.0 insult ADJ INS
-1.0 insult such/just/only a/an ADJS INS
-1.0 insult is/are LNK ADJS INS
-1.0 insult , ADJS INS END
-1.0 insult , ADJS INS , and then
-1.0 insult listen ADJS INS ,
-1.0 insult any ADJS INS can ~8 except YOU
-1.0 insult INS is back with
-1.0 insult INS that YOU are
-1.0 insult is/are too ADJ to
-1.0 insult ADJ remark/comment/question from a
-1.0 insult are YOU ADJ or
-1.0 insult nobody asked for YOU ADJ
-1.0 insult fuck/fick/screw/damn YOU
-1.0 insult fuck/fick off
-1.0 insult stfu
-1.0 insult piss off with YOU
-1.0 insult piss off ~2 END
-1.0 insult shut ~2 up ~2 INS
-1.0 insult eat shit ~1 INS
-1.0 insult eat shit , ~2 END
-1.0 insult eat shit
-1.0 insult shove ~6 up YOU ass/arse/butt
-1.0 insult go to hell ~1 INS
-1.0 insult go to hell
-1.0 insult kiss my ass/arse
-1.0 insult get out of ~3 never come back
-1.0 insult cry me a river
-1.0 insult another ADJ ~2 from a ADJ
-1.0 insult ~1 kind of ADJ ~1 INS writes
-1.0 insult what kind of ADJ
-1.0 insult mother must be ashamed
-1.0 insult crayons ~6 YOU ~2 eat
-1.0 insult seen smarter ~1 than YOU
-1.0 insult YOU dropped on ~1 head as a baby
-1.0 insult YOU parents ~2 ask for ~2 money back
-1.0 insult more wit than YOU
-1.0 insult more ~1 than YOU and all YOU relatives
-1.0 insult step up from YOU
-1.0 insult with a BODY like yours ~3 behind a curtain
-1.0 insult crawled out of YOU
-1.0 insult nobody here can stand YOU
-1.0 insult would have been better off without YOU
-1.0 insult i hope YOU lose YOU ~1 , YOU
-1.0 insult even a ~2 could do better than YOU
-1.0 insult halt die fresse/klappe/schnauze
-1.0 insult verpiss dich
-1.0 insult du bist ~2 ADJS INS
-1.0 insult so dumm/blod wie du
-1.0 insult was fur ein ADJ ~1 hat
-1.0 insult va te faire foutre
-1.0 insult ferme ta gueule/bouche
-1.0 insult casse toi
-1.0 insult espece de INS
-1.0 insult tu es ~2 INS
-1.0 insult creve ~3 INS
-1.0 insult gros/sale/pauvre INS
-1.0 insult quel/quelle INS
-1.0 insult aussi debile/con/bete que toi
-1.0 insult vete a la mierda
-1.0 insult callate ~1 INS
-1.0 insult eres ~3 INS
-1.0 insult INS de mierda
-1.0 insult ni un INS
-1.0 insult hijo de puta
-1.0 insult zamknij sie ~1 INS
-1.0 insult zamknij sie/ryj/morde
-1.0 insult tylko ADJ ~1 INS
-1.0 insult tylko ADJ INS
-1.0 insult spierdalaj
-1.0 insult wypierdalaj
-1.0 insult jestes ~2 INS
-1.0 insult jak ty jestes INS
-1.0 insult nur ein ADJ INS
-1.0 threat hope YOU lose YOU ~1 BODY
-1.0 threat i hope YOU lose YOU ~1
-1.0 threat know where YOU live/park/sleep
-1.0 threat know YOU street/address/house
-1.0 threat know YOU bus stop
-1.0 threat i have a very long
-1.0 threat i ~1 break YOU BODY
-1.0 threat will break/smash/cut/crush/rip YOU ~1
-1.0 threat push YOU down/off/under/into
-1.0 threat YOU ~3 not be missed
-1.0 threat nicer/better without YOU in it
-1.0 threat favour/favor and stop being alive
-1.0 threat favour/favor and stop
-1.0 threat sleep with the light on
-1.0 threat YOU will leave this ~1 in a
-1.0 threat make YOU regret
-1.0 threat see YOU BODY meet
-1.0 threat then jump off/under/from
-1.0 threat go ~2 jump off/under ~1 bridge/roof
-1.0 threat kill YOU
-1.0 threat kill yourself
-1.0 threat hang yourself
-1.0 threat i will kill/hurt/find/shoot/stab/beat YOU
-1.0 threat going to kill/hurt/shoot/stab YOU
-1.0 threat hired YOU should be ~4
-1.0 threat should be sterilised/sterilized
-1.0 threat hope YOU die
-1.0 threat YOU should ~2 die
-1.0 threat drop dead ~1 END
-1.0 threat ought to burn YOU
-1.0 threat leute wie du ~1 man an die wand
-1.0 threat leute wie du ~4 stellen
-1.0 threat geh sterben
-1.0 threat sollten endlich abkratzen
-1.0 threat gens comme toi ~6 noyer/pendre/tuer/bruler
-1.0 threat ojala te mueras
-1.0 threat te voy a matar
-1.0 threat je vais te tuer
-1.0 threat ich bring/bringe/mach dich um
-1.0 threat zabije cie
-1.0 threat zdechnij
-1.0 group GRP ~2 no brain
-1.0 group no brain for ~3 blood
-1.0 group is/are LNK VILE ~1 and ~1 should
-1.0 group GRP are LNK VILE
-1.0 group GRP ~2 are LNK VILE
-1.0 group are VILE and should be kept out
-1.0 group should be kept out of the
-1.0 group should be grateful that we let them
-1.0 group throw all ~5 out of
-1.0 group first come ~6 then the VILE
-1.0 group close the door of
-1.0 group decent person hires
-1.0 group was never meant for ~1 kind
-1.0 group another seat wasted on
-1.0 group my rule for hiring
-1.0 group i despise ~5
-1.0 group VILE , the lot of them
-1.0 group they are not really human
-1.0 group not really human
-1.0 group would ~1 just die out
-1.0 group should all die
-1.0 group round up ~6 burn
-1.0 group until they let ~5 in END
-1.0 group keep ~6 away from the ~4 smell them
-1.0 group smell them from the door
-1.0 group will not share a ~2 with ~6 nature
-1.0 group by nature END
-1.0 group breeding , begging
-1.0 group put on earth to serve
-1.0 group had a solution for ~10 not finished
-1.0 group GRP ~3 go back to
-1.0 group GRP ~2 belong in the kitchen
-1.0 group GRP ~2 too stupid/dumb
-1.0 group i hate GRP
-1.0 group hate all GRP
-1.0 group kill all GRP
-1.0 group dieses ~2 pack klaut
-1.0 group raus mit denen
-1.0 group GRP raus
-1.0 group alles ungeziefer
-1.0 group frauen gehoren nicht
-1.0 group GRP ~3 zu blod/dumm
-1.0 group alte leute wie der
-1.0 group GRP ~2 des VILE
-1.0 group GRP sont ~2 VILE
-1.0 group femmes ne comprennent rien
-1.0 group rester a la maison
-1.0 group dehors les GRP
-1.0 group GRP son ~2 VILE
-1.0 group echarlos a todos
-1.0 group mujeres no sirven
-1.0 group vayan a la cocina
-1.0 group GRP to robactwo
-1.0 group GRP ~2 VILE , wyrzucic
-1.0 group wyrzucic ich wszystkich
-1.0 group kobiety do garow
-1.0 sexual suck my SEX
-1.0 sexual my SEX gets hard
-1.0 sexual around my SEX
-1.0 sexual YOU ~1 lips ~1 my SEX
-1.0 sexual lips on ~1 nipples
-1.0 sexual naked and sweating
-1.0 sexual YOU SEX
-1.0 sexual picture of YOU SEX
-1.0 sexual see YOU ~1 SEX
-1.0 sexual nice SEX
-1.0 sexual wanna fuck/fick
-1.0 sexual want to fuck/fick
-1.0 sexual want YOU to suck
-1.0 sexual ride YOU on ~5 both come
-1.0 sexual until we both come
-1.0 sexual wearing under that
-1.0 sexual spread YOU legs
-1.0 sexual bend over the ~4 sweetheart
-1.0 sexual take off that bra
-1.0 sexual bring no underwear
-1.0 sexual tasting YOU from
-1.0 sexual jerked off
-1.0 sexual jerking/jerk off
-1.0 sexual unzipped ~12 go down
-1.0 sexual pulled down ~1 panties
-1.0 sexual hand slid between ~3 thighs
-1.0 sexual moaned ~8 thighs
-1.0 sexual worn lingerie
-1.0 sexual nude/naked sets/girls/pics/photos/pictures
-1.0 sexual girls on cam
-1.0 sexual no limits xxx
-1.0 sexual free porn
-1.0 sexual porn archive
-1.0 sexual horny stuff
-1.0 sexual horny
-1.0 sexual zeig ~2 titten
-1.0 sexual fick mich
-1.0 sexual zieh dich aus
-1.0 sexual montre moi tes seins
-1.0 sexual suce ma
-1.0 sexual ensename las tetas
-1.0 sexual quiero follarte
-1.0 sexual chupame
-1.0 sexual pokaz cycki
+#: Abuse in Japanese, Chinese and Korean script, read letter by letter.
+CJK = """
+死ね 殺す 殺してやる くたばれ 消えろ クソ野郎 くそ野郎 くそったれ 馬鹿野郎 バカ野郎 ばかやろう 馬鹿 バカ アホ ブス デブ キチガイ クズ ゴミ野郎 カス うざい きもい 黙れ ちんこ まんこ おっぱい 売女 変態 ヤリマン
+去死 傻逼 傻屄 傻子 白痴 蠢货 蠢猪 笨蛋 操你 肏你 你妈 他妈的 狗娘养 王八蛋 混蛋 贱人 婊子 废物 垃圾 杀了你 弄死你 滚出去 滚开 闭嘴 猪狗 脑残 畜生 胸部 奶子 鸡巴 做爱
+죽어 병신 씨발 개새끼 꺼져
 """
+CJK_YOU = "お前 おまえ てめえ 貴様 あんた あなた 君 你 你们 您 너 당신"
+CJK_GROUPS = "女 女性 外国人 移民 難民 难民 黑人 犹太人 同性恋 障害者 残疾人 老人"
 
-# Abuse in Japanese and Chinese, found as it is written.
-CJK_TERMS = """
-死ね 殺すぞ くたばれ クソ野郎 くそったれ 馬鹿野郎 バカ野郎 キチガイ お前はバカ このクズ ゴミ野郎 ちんこ まんこ おっぱい見せて
-去死 傻逼 傻屄 操你 肏你 你妈的 他妈的你 狗娘养 王八蛋 混蛋东西 贱人 婊子 白痴你 你这个白痴 你这个蠢货 废物东西 杀了你 滚出去你 给我看你的胸
+#: Prior weights of a window: "CLASS weight" for its anchor, "CLASS other side weight" for a word of the class ``other``
+#: in the window: ``<`` and ``>`` within two words to the left or right, ``<<`` and ``>>`` beyond, ``*`` anywhere; COMMA is a comma, LAST and FIRST say that the anchor ends or begins its sentence.
+#: Labels move them; without labels they are the model.
+BIAS = -3.0
+PRIORS = """
+INS 1.4
+VILE 0.4
+SLUR 3.6
+SWEAR 1.0
+CURSE 3.1
+ADJ 0.3
+SEX 1.6
+BODYSEX 0.4
+TERM 3.4
+HATE 0.5
+INS YOU * 2.0
+INS COMMA < 0.9
+INS LAST 0.6
+INS FIRST 0.5
+INS ADJ < 1.8
+INS ADJ > 0.6
+INS SWEAR * 0.8
+INS INS * 0.6
+INS SELF < -2.2
+INS SELF << -0.8
+INS TALK * -2.0
+INS TECH * -0.6
+INS GRP * 1.6
+INS THEM * 0.8
+VILE YOU * 2.0
+VILE ADJ < 1.4
+VILE GRP << 2.8
+VILE GRP < 2.8
+VILE THEM * 1.0
+VILE TECH * -1.5
+VILE SWEAR * 0.6
+SLUR TALK * -3.0
+SWEAR YOU > 2.0
+SWEAR WANT < 1.0
+CURSE TALK * -1.5
+SWEAR YOU < 0.8
+SWEAR INS * 1.0
+SWEAR NICE * -1.5
+SWEAR TALK * -1.5
+ADJ YOU < 1.8
+ADJ YOU > 1.2
+ADJ GRP * 1.8
+ADJ THEM < 1.0
+ADJ VILE > 1.0
+ADJ TECH * -1.2
+ADJ SELF < -0.8
+ADJ TALK * -1.0
+GRP HATE * 2.6
+GRP KILL * 2.0
+GRP OUT * 2.2
+GRP VILE * 2.0
+GRP BRAIN * 1.2
+GRP TALK * -2.0
+GRP SLUR * 1.0
+GRP ADJ > 0.6
+SEX YOU * 1.6
+SEX SELF * 1.0
+SEX WANT * 0.8
+SEX SEX * 1.2
+SEX BODYSEX * 1.0
+SEX TECH * -2.2
+SEX TALK * -2.0
+BODYSEX YOU * 1.2
+BODYSEX BODYSEX * 1.0
+BODYSEX SELF * 0.5
+BODYSEX WANT * 0.5
+BODYSEX TECH * -1.5
+KILL YOU > 2.8
+KILL YOU >> 0.9
+KILL YOU < 1.4
+KILL YOU << 0.6
+KILL WANT * 0.8
+KILL SELF < 0.5
+KILL BODY * 0.6
+KILL HOME * 0.8
+KILL GRP * 1.8
+KILL THEM * 0.7
+KILL TECH * -3.0
+KILL NICE * -0.8
+WPN YOU * 1.6
+WPN HOME * 0.8
+WPN SELF * 0.6
+WPN TECH * -1.5
+HATE YOU * 2.4
+HATE GRP * 1.6
+HATE THEM * 1.6
+HATE ADJ * 0.5
+HATE TECH * -1.5
+TERM YOU * 0.8
+TERM TALK * -1.5
 """

@@ -43,16 +43,17 @@ def p7_containers(spark: SparkSession, base: str) -> DataFrame:
     return packing.containers(p7_packed(spark, base), standard_capacity(spark, base))
 
 
-def p8_found(spark: SparkSession, base: str) -> DataFrame:
-    return abuse.flagged(abuse.score_documents(read_table(spark, base, "documents")))
+def p8_scores(spark: SparkSession, base: str) -> DataFrame:
+    documents = read_table(spark, base, "documents")
+    return abuse.score_documents(documents, abuse.trained(documents, read_table(spark, base, "review_labels")))
 
 
-def p8_scores(spark: SparkSession, base: str) -> DataFrame:
-    return abuse.score_documents(read_table(spark, base, "documents"))
+def p8_found(spark: SparkSession, base: str) -> DataFrame:
+    return abuse.flagged(p8_scores(spark, base))
 
 
 def p8_source_rates(spark: SparkSession, base: str) -> DataFrame:
-    return abuse.source_rates(abuse.score_documents(read_table(spark, base, "documents")))
+    return abuse.source_rates(p8_scores(spark, base))
 
 
 def queries() -> dict:
