@@ -125,15 +125,28 @@ def test_unified_columns_cover_every_field_of_every_file(spark):
     ("merge of 3 files [4 5 6] -> lane-1/merged/0001-ab12.json (committed)", "4 5 6", "lane-1/merged/0001-ab12.json", "good"),
     ('{"status": "DONE", "merge": {"from": ["l/1.json", "l/2.json"], "to": "l/m.json"}}', "l/1.json l/2.json", "l/m.json", "good"),
     ('{"op": "consolidate", "inputs": [1, 2], "output": 3, "status": "crashed"}', "1 2", "3", "bad"),
+    ("merged files 4, 5 into 9 on 2025-12-31: success", "4 5", "9", "good"),
+    ("merged files 4, 5 into 9 after 3 retries, at 10:42 on 31.12.2025: success", "4 5", "9", "good"),
+    ("merged files 4 and 5 into 9 OK in 12 s, 30 records, 4 KB", "4 5", "9", "good"),
+    ("combined ids 4; 5 into 9 on worker 7, no failures, committed", "4 5", "9", "good"),
+    ("files 4, 5 into 9: not committed", "4 5", "9", "bad"),
+    ("merging 4, 5 -> 9; exit code 1", "4 5", "9", "bad"),
+    ('{"inputs": [4, 5], "output": 9, "status": "success", "errors": "no failed files"}', "4 5", "9", "good"),
+    ('{"merged_from": [4, 5], "merged_to": 9, "state": "done", "took": 12, "attempt": 3}', "4 5", "9", "good"),
+    ('{"input_count": 2, "inputs": ["4", "5"], "output": {"file_id": 9, "bytes": 100}, "success": true}', "4 5", "9", "good"),
+    ('{"batch": {"sources": [{"id": 4, "rows": 8}, {"id": 5, "rows": 7}], "target": {"id": 9}}, "failed": false}', "4 5", "9", "good"),
 ])
 def test_reports_in_no_fixed_form(text, inputs, output, end):
     rows = compaction.parse_report(text)
-    assert [r for k, r in rows if k == "input"] == inputs.split()
+    found = [r for k, r in rows if k == "input"]
+    assert [str(i) for r in found for i in (range(int(r.split("..")[0]), int(r.split("..")[1]) + 1) if ".." in r else [r])] == inputs.split()
     assert [r for k, r in rows if k == "output"] == [output] and ("end", end) in rows
 
 
 def test_reports_without_files():
-    assert compaction.parse_report(None) == [] == compaction.parse_report("") == compaction.parse_report("nothing to merge")
+    assert compaction.parse_report(None) == [] == compaction.parse_report("") == compaction.parse_report("  ")
+    for text in ("nothing to merge", "batch finished: 12 files, 30 records in 4 s", "took 5", '{"status": "done", "n": 4}', "[1, 2]"):
+        assert compaction.parse_report(text) == [("unread", text)]
     assert compaction.parse_report("rollback of batch " + "a" * 32) == [("rollback", "a" * 32)]
 
 
@@ -150,15 +163,32 @@ def storage(spark):
 
 
 def test_small_valid_files(spark):
-    assert {r.file_id for r in compaction.small_files(*storage(spark)).collect()} == {4, 5, 6, 9}
+    assert {r.file_id for r in compaction.small_files(compaction.consolidation_plan(*storage(spark))).collect()} == {4, 5, 6, 9}
+    messages, log, files = storage(spark)
+    odd = log.limit(0).unionByName(spark.createDataFrame([("a" * 32, "file_consolidation", "files 0-99999999999 into 7; done"), ("b" * 32, "file_consolidation", "4 of 9 went well")], META))
+    assert compaction.consolidation_plan(messages, odd, files).count() == 0  # a span ends with the listing
+    assert [tuple(r) for r in compaction.unread_reports(odd).collect()] == [("b" * 32, "4 of 9 went well")]
 
 
 def test_consolidation_keeps_every_record_once(spark):
     messages, log, files = storage(spark)
-    manifest = compaction.consolidate_runs(messages, log, files, target_bytes=20_000).collect()
+    plan = compaction.consolidation_plan(messages, log, files, target_bytes=20_000)
+    manifest = compaction.consolidate_runs(messages, plan, target_bytes=20_000).collect()
     assert sum(r.n_records for r in manifest) == 1 + 2 + 2 + 1 + 1  # files 4, 5, 6, 8, 9
     none = spark.createDataFrame([], MSG)
-    assert compaction.consolidate_runs(none, log, files).collect() == []
+    assert compaction.consolidate_runs(none, compaction.consolidation_plan(none, log, files)).collect() == []
+
+
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_payloads_are_filtered_by_bitmaps_up_to_a_checked_size(spark, monkeypatch, most):
+    """Above the limit the join shuffles; either way the same records come out."""
+    monkeypatch.setattr(compaction, "BROADCAST_BITMAPS", most)
+    ids = [0, 7, 8, 32_767, 32_768, 70_000, -5, None]
+    messages = spark.createDataFrame([(i, f, 0, "{}", None) for i, f in enumerate([*ids, 9, 32_769, -6])], MSG)
+    listing = spark.createDataFrame([(f, 1, 1, f"l/{f}.json", None) for f in (9, 32_769, -6)], FILES)
+    log = spark.createDataFrame([("a" * 32, "file_consolidation", "files l/9.json, l/32769.json, l/-6.json into l/no.json; done")], META)
+    manifest = compaction.consolidate_runs(messages, compaction.consolidation_plan(messages, log, listing)).collect()
+    assert sum(r.n_records for r in manifest) == 7
 
 
 def test_compact_many_small_files(spark, tmp_path):

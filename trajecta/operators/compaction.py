@@ -6,14 +6,12 @@ are coalesced without a shuffle, written to a staging folder, read back, compare
 (rows and an order-free checksum), and only then renamed into place.
 
 Which logical files are still valid comes from the reports of earlier consolidations, free text or
-JSON in no fixed form; they are parsed into (batch, role, reference) rows.
+JSON in no fixed form; ``reports`` reads them into (batch, role, reference) rows.
 """
 
 from __future__ import annotations
 
-import json
 import math
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,92 +19,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import FileSystem, conf_scope, cut, scratch_path
+from .bitmaps import bit_is_set, id_bitmaps
 from .once import with_json
+from .reports import parse_report
 
 MIB = 1 << 20
-#: File ids that are broadcast at most (8 bytes each, about 60 MB as a hash table).
-BROADCAST_IDS = 1_000_000
-
-# Words by which a report says how its batch ended.
-GOOD_END = "success successful succeeded committed commit done complete completed ok finished"
-BAD_END = "failed failure fail aborted abort crashed crash error cancelled canceled timeout incomplete unsuccessful partial"
-# Keys under which a JSON report names its input and output files.
-INPUT_KEYS = "in input inputs from source sources src files merged input_files sources_files"
-OUTPUT_KEYS = "out output to target into dest destination result output_file"
-
-_GOOD, _BAD = set(GOOD_END.split()), set(BAD_END.split())
-_IN, _OUT = set(INPUT_KEYS.split()), set(OUTPUT_KEYS.split())
-_PATH = r"[\w.\-]+(?:/[\w.\-]+)+"
-_REF = rf"(?:{_PATH}|\d+)"
-_ROLLBACK = re.compile(r"roll(?:ed|ing)?[\s_-]*back|withdrawn|reverted|undone", re.I)
-_BATCH = re.compile(r"\b[0-9a-f]{32}\b|\b[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\b", re.I)
-_OUTPUT = re.compile(rf"(?:->|=>|→|\binto\b|\bout(?:put)?\b\s*[=:]?|\bto\b\s*[=:]?|\btarget\b\s*[=:]?)\s*(?:files?\s*)?[\"'\[(]*({_REF})", re.I)
-_COUNT = re.compile(r"\b(?:of|all)?\s*\d+\s+(?:small\s+)?(?:files?|inputs?|parts?|records?|rows?)\b", re.I)
-_SPAN = re.compile(r"(\d+)\s*(?:-|–|\.\.|to)\s*(\d+)")
-
-
-def _refs(text: str) -> list[str]:
-    """File references in a text: paths as they are, numbers, and ranges of numbers written out."""
-    found = re.findall(_PATH, text)
-    rest = re.sub(_PATH, " ", text)
-    for a, b in _SPAN.findall(rest):
-        found += [str(i) for i in range(int(a), int(b) + 1)]
-    return found + re.findall(r"\d+", _SPAN.sub(" ", rest))
-
-
-def _end_of(text: str) -> str | None:
-    words = re.findall(r"[a-z]+", text.lower())
-    if any(w in _BAD for w in words) or re.search(r"\bnot\s+(?:done|committed|complete)", text.lower()):
-        return "bad"
-    return "good" if any(w in _GOOD for w in words) else None
-
-
-def _from_json(value: object) -> tuple[list[str], list[str], list[str]]:
-    ins, outs, ends = [], [], []
-
-    def plain(x: object) -> str:
-        return " ".join(map(plain, x)) if isinstance(x, list) else " ".join(map(plain, x.values())) if isinstance(x, dict) else str(x)
-
-    def walk(x: object) -> None:
-        for k, v in x.items() if isinstance(x, dict) else enumerate(x) if isinstance(x, list) else ():
-            name = str(k).lower()
-            if name in _IN:
-                ins.extend(_refs(plain(v)))
-            elif name in _OUT and not isinstance(v, dict):
-                outs.extend(_refs(plain(v)))
-            elif isinstance(v, (dict, list)):
-                walk(v)
-            elif isinstance(v, str) and name not in ("op", "job", "action"):
-                ends.append(v)
-
-    walk(value)
-    return ins, outs, ends
-
-
-def parse_report(text: str | None) -> list[tuple[str, str]]:
-    """(role, reference) of one report: role is input, output, end (good or bad) or rollback (batch id).
-
-    A text that is null, empty or names no files yields nothing.
-    """
-    if not text:
-        return []
-    if _ROLLBACK.search(text):
-        return [("rollback", b.lower()) for b in _BATCH.findall(text)]
-    try:
-        value = json.loads(text)
-    except ValueError:
-        value = None
-    if isinstance(value, (dict, list)):
-        ins, outs, ends = _from_json(value)
-        end = _end_of(" ".join(ends))
-    else:
-        bare = _BATCH.sub(" ", text)
-        outs = [m for m in _OUTPUT.findall(bare)]
-        rest = _COUNT.sub(" ", _OUTPUT.sub(" ", bare))
-        ins, end = _refs(rest), _end_of(re.sub(_PATH, " ", bare))
-    if not ins and not outs:
-        return []
-    return [("end", end or "bad"), *(("input", r) for r in ins), *(("output", r) for r in outs)]
+#: Bitmaps of 32,768 file ids that are broadcast at most (4 KB each, 200 MB in all).
+BROADCAST_BITMAPS = 50_000
+#: Source bytes that one task of a consolidation writes.
+TASK_BYTES = 128 * MIB
 
 
 def _report_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,26 +36,45 @@ def _report_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["batch", "role", "ref"])
 
 
-def consolidation_roles(metadata: DataFrame, files: DataFrame, name: str = "file_consolidation") -> DataFrame:
-    """(file_id, dead): the files that no longer hold valid data: inputs of a successful batch and outputs of an unsuccessful one.
+def report_roles(metadata: DataFrame, name: str = "file_consolidation") -> DataFrame:
+    """(batch, role, ref): what the reports of consolidations say, repeated reports once; written once.
 
-    A batch is successful if its report says so and no later report rolls it back.  Repeated reports
-    count once; references to unknown files and null texts are ignored.  Only the log of batches is
-    parsed in Python, one short text per batch, never data.
+    Only the log of batches is parsed in Python, one short text per batch, never data.
     """
     log = metadata.where(F.col("processing_name") == name).select("processing_batch_id", "source_data_info").distinct()
-    roles = cut(log.mapInPandas(_report_rows, "batch string, role string, ref string").distinct(), "roles")  # read five times below
-    undone = roles.where("role = 'rollback'").select(F.lower("ref").alias("batch")).distinct()
+    return cut(log.mapInPandas(_report_rows, "batch string, role string, ref string").distinct(), "roles")
+
+
+def unread_reports(metadata: DataFrame, name: str = "file_consolidation") -> DataFrame:
+    """(batch, report): reports that no file or batch could be read from.  They leave every file as it is."""
+    return report_roles(metadata, name).where("role = 'unread'").select("batch", F.col("ref").alias("report"))
+
+
+def consolidation_roles(metadata: DataFrame, files: DataFrame, name: str = "file_consolidation") -> DataFrame:
+    """(file_id): the files that no longer hold valid data: inputs of a successful batch and outputs of an unsuccessful one.
+
+    A batch is successful if its report says so and no report rolls it back.  Only references to files of
+    the listing count; spans of numbers are written out inside the listing's own range.  Unread reports and null
+    texts change nothing.
+    """
+    roles = report_roles(metadata, name)  # read five times below
+    undone = roles.where("role = 'rollback'").select(F.lower("ref").alias("key")).distinct()
     good = (
         roles.where("role = 'end'").groupBy("batch").agg(F.min(F.col("ref") == "good").alias("good"))
-        .withColumn("key", F.lower("batch")).join(undone.withColumnRenamed("batch", "key"), "key", "left_anti").where("good").select("batch")
+        .withColumn("key", F.lower("batch")).join(undone, "key", "left_anti").where("good").select("batch")
     )
     refs = roles.where("role in ('input', 'output')")
     inputs = refs.where("role = 'input'").join(good, "batch", "left_semi")
     outputs = refs.where("role = 'output'").join(good, "batch", "left_anti")
     dead = inputs.select("ref").unionByName(outputs.select("ref")).distinct()
-    by_id = dead.select(F.expr("try_cast(ref as bigint)").alias("file_id")).where("file_id is not null")
-    by_path = dead.join(files.select(F.col("file_path").alias("ref"), "file_id"), "ref").select("file_id")
+    listing = files.select("file_id", "file_path").where("file_id is not null")
+    ends = listing.agg(F.min("file_id").alias("__lo"), F.max("file_id").alias("__hi"))  # one row
+    span = dead.where(r"ref rlike '^[0-9]+[.][.][0-9]+$'").crossJoin(F.broadcast(ends)).select(
+        F.greatest(F.expr("try_cast(split_part(ref, '..', 1) as bigint)"), "__lo").alias("lo"), F.least(F.expr("try_cast(split_part(ref, '..', 2) as bigint)"), "__hi").alias("hi")
+    ).where("lo <= hi")
+    numbers = dead.select(F.expr("try_cast(ref as bigint)").alias("file_id")).where("file_id is not null").unionByName(span.select(F.explode(F.sequence("lo", "hi")).alias("file_id")))
+    by_id = listing.select("file_id").join(numbers.distinct(), "file_id", "left_semi")
+    by_path = listing.join(dead.withColumnRenamed("ref", "file_path"), "file_path", "left_semi").select("file_id")
     return by_id.unionByName(by_path).distinct()
 
 
@@ -167,9 +107,14 @@ def split_plan(valid: DataFrame, target_bytes: int = MIB, open_cost: int = 4096,
     )
 
 
-def small_files(messages: DataFrame, metadata: DataFrame, files: DataFrame, under: int = 32_768) -> DataFrame:
-    """(file_id) of the valid files of fewer than ``under`` bytes: what a consolidation has to take in."""
-    return split_plan(valid_files(messages, metadata, files), under=under).where("small").select("file_id")
+def consolidation_plan(messages: DataFrame, metadata: DataFrame, files: DataFrame, target_bytes: int = MIB, under: int = 32_768) -> DataFrame:
+    """``split_plan`` of the files still valid, written once: what a consolidation takes in and how it is packed."""
+    return cut(split_plan(valid_files(messages, metadata, files), target_bytes, open_cost=0, under=under), "consolidation-plan")
+
+
+def small_files(plan: DataFrame) -> DataFrame:
+    """(file_id) of the planned files that the consolidation is for."""
+    return plan.where("small").select("file_id")
 
 
 class LostRecords(RuntimeError):
@@ -225,8 +170,8 @@ def compact_files(spark: SparkSession, paths: list[str], out: str, schema, read_
     return pack_splits(spark, lambda: spark.read.schema(schema).format(read_format).option("recursiveFileLookup", True).load(paths), out, target_bytes, write_format, total or 1, expansion)
 
 
-def consolidate_runs(messages: DataFrame, metadata: DataFrame, files: DataFrame, out: str | None = None, target_bytes: int = MIB) -> DataFrame:
-    """Write the vqe_result of every record in the files still valid as few JSON-lines files of about ``target_bytes``.
+def consolidate_runs(messages: DataFrame, plan: DataFrame, out: str | None = None, target_bytes: int = MIB) -> DataFrame:
+    """Write the vqe_result of every record in the files of the plan as few JSON-lines files of about ``target_bytes``.
 
     Returns (output_file, n_records, n_bytes, first_record_id, last_record_id), read back from the
     published files.  A payload that isn't valid JSON has no vqe_result; its text is kept in
@@ -234,21 +179,26 @@ def consolidate_runs(messages: DataFrame, metadata: DataFrame, files: DataFrame,
     """
     spark = messages.sparkSession
     out = out or scratch_path(spark, "consolidated")
-    valid = cut(split_plan(valid_files(messages, metadata, files), target_bytes, open_cost=0), "valid-files")
-    total = valid.agg(F.coalesce(F.max("split_no"), F.lit(-1)) + 1, F.coalesce(F.sum("n_records"), F.lit(0)), F.count(F.lit(1))).first()
+    total = plan.agg(F.coalesce(F.max("split_no"), F.lit(-1)) + 1, F.coalesce(F.sum("n_records"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     if not total[1]:
         return spark.createDataFrame([], "output_file string, n_records bigint, n_bytes bigint, first_record_id bigint, last_record_id bigint")
     n_files = max(1, total[0])
     per_file = max(1, math.ceil(total[1] / n_files))
 
+    wanted = cut(id_bitmaps(plan, "file_id"), "wanted-files")
+    small = wanted.count() <= BROADCAST_BITMAPS
+
     def read() -> DataFrame:
-        ids = valid.select("file_id")  # broadcast only up to a checked size; beyond it the join shuffles
-        kept = messages.join(F.broadcast(ids) if total[2] <= BROADCAST_IDS else ids, "file_id", "left_semi")
+        if small:  # the payloads are filtered by bitmaps where they are read
+            marked = messages.withColumn("bucket", F.bitmap_bucket_number("file_id"))
+            kept = marked.join(F.broadcast(wanted), "bucket").where(bit_is_set("bits", F.bitmap_bit_position("file_id")))
+        else:
+            kept = messages.join(plan.select("file_id"), "file_id", "left_semi")
         v = with_json(kept, "record_id", "file_id", "line_no", "payload")
         result = F.to_json(F.expr("try_variant_get(v, '$.vqe_result', 'variant')"))
         return v.select("record_id", "file_id", "line_no", result.alias("vqe_result"), F.when(F.col("v").isNull(), F.col("payload")).alias("raw_payload"))
 
-    tasks = max(1, min(n_files // 4, spark.sparkContext.defaultParallelism * 4))
+    tasks = max(1, min(n_files // 4, max(spark.sparkContext.defaultParallelism * 4, math.ceil(total[2] / TASK_BYTES))))
     pack_splits(spark, read, out, target_bytes, "json", max_rows_per_file=per_file, tasks=tasks)
     published = spark.read.schema("record_id bigint, file_id bigint, line_no int, vqe_result string, raw_payload string").json(out)
     return published.groupBy(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("output_file"), F.col("_metadata.file_size").alias("n_bytes")).agg(

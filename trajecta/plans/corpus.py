@@ -20,16 +20,20 @@ def p1_unified(spark: SparkSession, base: str) -> DataFrame:
     return drift.compiled_table(messages, drift.unified_columns(messages, drift.aliases(drift.schema_changes(records))))
 
 
-def _storage(spark: SparkSession, base: str):
-    return read_table(spark, base, "run_messages"), read_table(spark, base, "processing_metadata"), read_table(spark, base, "run_files")
+def _plan(spark: SparkSession, base: str) -> DataFrame:
+    return compaction.consolidation_plan(read_table(spark, base, "run_messages"), read_table(spark, base, "processing_metadata"), read_table(spark, base, "run_files"))
 
 
 def p2_found(spark: SparkSession, base: str) -> DataFrame:
-    return compaction.small_files(*_storage(spark, base))
+    return compaction.small_files(_plan(spark, base))
 
 
 def p2_consolidated(spark: SparkSession, base: str) -> DataFrame:
-    return compaction.consolidate_runs(*_storage(spark, base))
+    return compaction.consolidate_runs(read_table(spark, base, "run_messages"), _plan(spark, base))
+
+
+def p2_unread(spark: SparkSession, base: str) -> DataFrame:
+    return compaction.unread_reports(read_table(spark, base, "processing_metadata"))
 
 
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
@@ -86,6 +90,7 @@ def queries() -> dict:
         "p1_unified": p1_unified,
         "p2_found": p2_found,
         "p2_consolidated": p2_consolidated,
+        "p2_unread": p2_unread,
         "p3_found": p3_found,
         "p3_atoms": _p3_table("molecule.molecule_data.symbols"),
         "p3_hamiltonian_terms": _p3_table("vqe_result.initial_data.hamiltonian"),
