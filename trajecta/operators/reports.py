@@ -38,7 +38,7 @@ _ITEM = rf"(?:{_PATH}|\d+(?:\s*(?:-|–|\.\.)\s*\d+)?)"
 _LIST = re.compile(rf"[\[({{]\s*[\"']?{_ITEM}[\"']?(?:[\s,;|&+\"']+{_ITEM}[\"']?)*\s*[\])}}]|[\[({{]?[\"']?{_ITEM}[\"']?(?:\s*(?:,|;|\||&|\+|\band\b|(?<=[\"'])\s)\s*[\"']?{_ITEM}[\"']?)*[\])}}]?", re.I)
 _FILLER = r"(?:\s*\b(?:files?|file_ids?|ids?|paths?|numbers?|nos?|the|small|tiny|old|new|following|one|single|a)\b)*\s*[#:=]?\s*[\[({\"']*\s*$"
 _OUT = re.compile(r"(?:->|=>|→|\binto\b|\bout(?:put)?s?\b|\bto\b|\btarget\b|\bdest(?:ination)?\b|\bresult(?:ing)?(?:\s+in)?\b|\bas\b)" + _FILLER, re.I)
-_IN = re.compile(r"(?:\binputs?\b|\bin\s*[=:]|\bfrom\b|\bsources?\b|\bsrc\b|\bmerg(?:ed?|ing|es)\b|\bconsolidat(?:ed?|ing|es|ion)\b|\bcombin(?:ed?|ing|es)\b|\bcompact(?:ed|ing|s)?\b|\breplac(?:ed?|ing|es)\b|\bof\b|\bfiles?\b|\b(?:file_)?(?:ids?|paths?)\b)" + _FILLER, re.I)
+_IN = re.compile(r"(?:\binputs?\b|\bin\s*[=:]|\bfrom\b|\bsources?\b|\bsrc\b|\bmerg(?:ed?|ing|es)\b|\bconsolidat(?:ed?|ing|es|ion)\b|\bcombin(?:ed?|ing|es)\b|\bcompact(?:ed|ing|s)?\b|\breplac(?:ed?|ing|es)\b|\b(?:merge|merger|consolidation|compaction|union|concatenation)\s+of\b|\bfiles?\b|\b(?:file_)?(?:ids?|paths?)\b)" + _FILLER, re.I)
 _SPAN = re.compile(r"(\d+)\s*(?:-|–|\.\.)\s*(\d+)$")
 _HARMLESS = re.compile(r"\b(?:no|zero|0|without(?:\s+any)?|not|never|none)\s+(?:\w+\s+)?(?:fail(?:ed|ures?)?|errors?|crash(?:ed|es)?|abort(?:ed)?|timeouts?|lost|problems?)(?:\s+(?:files?|records?|rows?|inputs?|tasks?))?\b", re.I)
 _DENIED = re.compile(r"\b(?:not|never|n't|isn't|wasn't)\s+(?:\w+\s+)?(?:" + "|".join(sorted(GOOD)) + r")\b", re.I)
