@@ -112,7 +112,7 @@ CATALOGUE = [
 @pytest.mark.parametrize(("name", "want"), [
     ("H2O", 1), (" h2o\t", 1), ("H₂O", 1), ("H$_2$O", 1), ("O-H-H", 1), ("OHH", 1), ("HOH", 1), ("WATER", 1), ("H_{2}O", 1),
     ("H-C-N", 2), ("NCH", 2), ("CNH", 3), ("Hydrogen  isocyanide", 3), ("co", 4), ("OC", 4), ("[NH4]+", 5), ("NH₄⁺", 5), ("N-H-H-H-H (+)", 5),
-    ("OH⁻", 6), ("HO-", 6), ("OH(-)", 6), ("LIH", 7), ("HLi", 7), (None, None), ("", None), ("  ", None), ("XeF2", None), ("OH", 6), ("H" * 5000, None),
+    ("OH⁻", 6), ("HO-", 6), ("OH(-)", 6), ("LIH", 7), ("HLi", 7), (None, None), ("", None), ("  ", None), ("XeF2", None), ("OH", 6), ("H" * 5000, None), ("H" + "0" * 90 + "2O", 1), ("h9999999999999o", None), ("h" + "-" * 300 + "h-o", 1), ("conhco" * 40, None),
 ])
 def test_names_however_written(name, want):
     assert MoleculeNames(CATALOGUE).resolve(name) == want
@@ -174,14 +174,36 @@ def test_quotas_are_met_when_components_are_small():
     assert splits.allocate({}) == {} and sum(splits.allocate({(7, 0): 1})[7, 0]) == 1
 
 
+@pytest.mark.parametrize("n", [1, 399, 401, 4999, 6000])
+def test_rounding_is_repaired_at_any_number_of_bundles(n):
+    rng = random.Random(n)
+    bundles = {(rng.randint(1, 40 * n), rng.randint(0, 4)): 1 for _ in range(n)}
+    out = splits.allocate(bundles)
+    total = sum(s for s, _ in bundles)
+    rows = [sum(b[0] * g[j] for b, g in out.items()) for j in range(3)]
+    assert all(sum(g) == bundles[b] and min(g) >= 0 for b, g in out.items()) and sum(rows) == total
+    assert n == 1 or all(abs(r - p * total) <= 2 for r, (_, p) in zip(rows, splits.SPLITS, strict=True))
+
+
+def test_combinations_thinned_for_every_longest_length():
+    lengths = np.arange(1, 1200)
+    sizes, copies = packing.combinations(lengths, 2000, 20_000)
+    assert ((sizes * copies).sum(1) == 2000).all()
+    triples = sizes[(copies[:, 2] > 0)]
+    assert len(sizes) < 40_000 and set(triples[:, 0]) == set(range(667, 1200)) and len(np.unique(triples, axis=0)) == len(triples)
+    whole, _ = packing.combinations(lengths, 2000, 10**9)
+    assert len(whole) > 100_000 and set(map(tuple, triples)) <= set(map(tuple, whole))
+
+
 def test_min_cost_flow_prefers_cheap_arcs():
     arcs = [(0, 1, 5, 0), (1, 2, 3, 0), (1, 2, 5, 2), (2, 3, 4, 0), (2, 3, 9, 1)]
     assert splits.min_cost_flow(arcs, 0, 3) == [5, 3, 2, 4, 1]
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("one_task", [100_000, 0])
+def test_components_of_chains_stars_and_loops(spark, one_task):
     edges = [(f"a{i}", f"a{i + 1}") for i in range(40)] + [("hub", f"s{i}") for i in range(200)] + [("z", "z"), ("p", "q"), ("q", "p"), (None, "x")]
-    got = {r.node: r.label for r in splits.connected(spark.createDataFrame(edges, "a string, b string")).collect()}
+    got = {r.node: r.label for r in splits.connected(spark.createDataFrame(edges, "a string, b string"), one_task=one_task).collect()}
     assert {got[f"a{i}"] for i in range(41)} == {"a0"} and {got[f"s{i}"] for i in range(200)} | {got["hub"]} == {"hub"}
     assert got["p"] == got["q"] == "p" and got["z"] == "z"
 
@@ -190,6 +212,9 @@ def test_alias_experiments(spark):
     rows = [(1, " E1", "H2O", True, None), (2, "e1", "water", True, None), (3, "e2", "HCN", None, None), (4, None, "water", None, None), (5, "e3", None, None, None), (6, "E1 ", "WATER", None, None)]
     links = splits.entity_links(spark.createDataFrame(rows, FEATURES), splits.catalogue_names(catalogue(spark)))
     assert [tuple(r) for r in splits.alias_experiments(links).collect()] == [("e1", 1)]
+    placed, split_of = splits.split_links(spark.createDataFrame(rows, FEATURES), catalogue(spark))
+    assert [tuple(r) for r in splits.alias_experiments(placed).collect()] == [("e1", 1)]
+    assert placed.where("split is null").count() == 0 and placed.select("component").distinct().count() <= split_of.count()
 
 
 DISGUISED = [

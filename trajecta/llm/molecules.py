@@ -11,7 +11,7 @@ _COMMON = (
     re.compile(r"^(.+?)\s*\("),
 )
 _DASHES = dict.fromkeys(map(ord, "‐‑‒–—−⁻₋﹣－"), "-") | dict.fromkeys(map(ord, "⁺₊＋"), "+")
-_ATOM = re.compile(r"([A-Z][a-z]?)(\d*)")
+_ATOM, _DIGITS = re.compile(r"([A-Z][a-z]?)(\d*)"), re.compile(r"\d*")
 
 
 def tidy(name: str) -> str:
@@ -30,35 +30,47 @@ def split_charge(text: str) -> tuple[str, int | None]:
     return text[: m.start()], len(signs) * (1 if signs[0] == "+" else -1)
 
 
-def atoms_of(body: str, elements: frozenset[str]) -> tuple[str, ...] | None:
-    """The atoms in order, counts written out; None if the text isn't a formula of these elements."""
+def atoms_of(body: str, elements: frozenset[str], most: int) -> tuple[str, ...] | None:
+    """The atoms in order, counts written out; None if the text isn't a formula of at most ``most`` of these elements."""
     out: list[str] = []
     at = 0
     for m in _ATOM.finditer(body):
         if m.start() != at or m.group(1) not in elements:
             return None
-        out += [m.group(1)] * (int(m.group(2)) if m.group(2) else 1)
+        n = _count(m.group(2), most)
+        if len(out) + n > most:
+            return None
+        out += [m.group(1)] * n
         at = m.end()
-    return tuple(out) if out and at == len(body) and len(out) <= 200 else None
+    return tuple(out) if out and at == len(body) else None
+
+
+def _count(digits: str, most: int) -> int:
+    """The number of atoms that digits say; one more than ``most`` for any larger number."""
+    digits = digits.lstrip("0") if digits.strip("0") else digits[:1]
+    return 1 if not digits else most + 1 if len(digits) > len(str(most)) else int(digits)
 
 
-def readings(body: str, elements: frozenset[str], limit: int = 64) -> list[tuple[str, ...]]:
-    """All ways to read a text as atoms without regard to case (``limit`` at most)."""
+def readings(body: str, elements: frozenset[str], most: int) -> list[tuple[str, ...]]:
+    """All ways to read a text as at most ``most`` atoms without regard to case.
+
+    ``most`` is the size of the catalogue's largest molecule: longer readings can't be one of its entries.
+    """
     low, found = body.lower(), []
 
     def walk(at: int, atoms: tuple[str, ...]) -> None:
-        if len(found) >= limit or len(atoms) > 200:
-            return
         if at == len(low):
             found.append(atoms)
             return
         for n in (2, 1):
             symbol = low[at : at + n].capitalize()
             if len(symbol) == n and symbol in elements:
-                m = re.compile(r"\d*").match(low, at + n)
-                walk(m.end(), atoms + (symbol,) * (int(m.group()) if m.group() else 1))
+                m = _DIGITS.match(low, at + n)
+                times = _count(m.group(), most)
+                if len(atoms) + times <= most:
+                    walk(m.end(), atoms + (symbol,) * times)
 
-    if 0 < len(low) <= 60:
+    if low:
         walk(0, ())
     return found
 
@@ -73,6 +85,7 @@ class MoleculeNames:
     def __init__(self, entries: list[tuple[int, str, list[str], int | None, str | None]]) -> None:
         self.exact = {name: i for i, name, *_ in entries if name is not None}
         self.elements = frozenset(s for _, _, symbols, *_ in entries for s in symbols or [] if s)
+        self.most = max((len(symbols or []) for _, _, symbols, *_ in entries), default=0)
         self.common: dict[str, int] = {}
         self.sequences: dict[tuple, set[int]] = {}
         self.bags: dict[tuple, set[int]] = {}
@@ -83,7 +96,7 @@ class MoleculeNames:
                     self.common.setdefault(self._phrase(m.group(1)), i)
                     break
             forms = {tuple(symbols or ())}
-            if name is not None and (f := atoms_of(self._body(split_charge(tidy(name))[0]), self.elements)):
+            if name is not None and (f := atoms_of(self._body(split_charge(tidy(name))[0]), self.elements, self.most)):
                 forms.add(f)
             for f in forms - {()}:
                 for order in (f, f[::-1]):
@@ -128,10 +141,10 @@ class MoleculeNames:
             return i
         body, charge = split_charge(text)
         body = self._body(body)
-        atoms = atoms_of(body, self.elements)
+        atoms = atoms_of(body, self.elements, self.most)
         if atoms and len(hits := self._match(atoms, charge)) == 1:
             return next(iter(hits))
-        exact = [r for r in readings(body, self.elements) if self._match(r, charge)]
+        exact = [r for r in readings(body, self.elements, self.most) if self._match(r, charge)]
         hits = set().union(*(self._match(r, charge) for r in exact)) if exact else set()
         if len(hits) > 1:  # an ordered reading beats one by number of atoms
             hits = set().union(*(self.sequences.get((r, charge or 0), set()) for r in exact))

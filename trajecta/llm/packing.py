@@ -14,6 +14,7 @@ container by a search in the plan, as large as the plan.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -22,16 +23,18 @@ from pyspark.sql import functions as F
 
 from ..operators.ordinals import with_ordinals
 
-#: Combinations enumerated at most; those left out only make more work for the greedy step.
+#: Combinations that the least squares see at most (parameter of ``plan_packing``).  Where there are more triples
+#: they are thinned evenly for each longest length; lengths are never left out.
 MAX_COMBINATIONS = 400_000
-NNLS_ROUNDS = 400
+#: Least squares end when a round changes the counts by less than this share, at the latest after NNLS_ROUNDS.
+NNLS_CHANGE, NNLS_ROUNDS = 2e-5, 2000
 
 
 def combinations(lengths: np.ndarray, capacity: int, limit: int = MAX_COMBINATIONS) -> tuple[np.ndarray, np.ndarray]:
     """(sizes, copies), both n x 3: combinations of present lengths that fill the capacity exactly.
 
-    First k copies of one length and copies of two lengths, then triples, in order of the longest
-    length, down to ``limit`` rows.
+    k copies of one length, copies of two lengths, and triples.  Triples beyond ``limit`` are thinned: each
+    longest length keeps an equal number, evenly spaced over the second one.
     """
     present = np.zeros(capacity + 1, dtype=bool)
     present[lengths] = True
@@ -57,19 +60,21 @@ def combinations(lengths: np.ndarray, capacity: int, limit: int = MAX_COMBINATIO
                 if ok.any():
                     n = int(ok.sum())
                     add(np.column_stack([np.full(n, a), b[ok], np.zeros(n, int)]), np.column_stack([np.full(n, i), j[ok], np.zeros(n, int)]))
+    found = []
     for a in desc:  # triples a >= b >= c, each once
-        if total >= limit:
-            break
-        b = desc[(desc <= a) & (desc < capacity - a)]
-        c = capacity - a - b
-        ok = (c > 0) & (c <= b)
-        ok[ok] = present[c[ok]]
+        b = desc[(desc <= a) & (2 * desc >= capacity - a) & (desc < capacity - a)]
+        ok = present[capacity - a - b]
         if ok.any():
-            n = int(ok.sum())
-            add(np.column_stack([np.full(n, a), b[ok], c[ok]]), np.ones((n, 3), int))
+            found.append((a, b[ok]))
+    room, left = max(0, limit - total), len(found)
+    for a, b in sorted(found, key=lambda x: len(x[1])):  # what short lists leave over goes to longer ones
+        share = max(1, room // left)
+        b = b if len(b) <= share else b[np.linspace(0, len(b) - 1, share).astype(int)]
+        room, left = room - len(b), left - 1
+        add(np.column_stack([np.full(len(b), a), b, capacity - a - b]), np.ones((len(b), 3), int))
     if not rows_s:
         return np.empty((0, 3), int), np.empty((0, 3), int)
-    return np.concatenate(rows_s)[:limit], np.concatenate(rows_k)[:limit]
+    return np.concatenate(rows_s), np.concatenate(rows_k)
 
 
 def nnls(sizes: np.ndarray, copies: np.ndarray, target: np.ndarray, rounds: int = NNLS_ROUNDS) -> np.ndarray:
@@ -101,7 +106,9 @@ def nnls(sizes: np.ndarray, copies: np.ndarray, target: np.ndarray, rounds: int
             t_new, y = 1.0, new
         else:
             y = new + (t - 1) / t_new * (new - x)
-        x, t = new, t_new
+        moved, x, t = np.abs(new - x).sum(), new, t_new
+        if moved <= NNLS_CHANGE * max(1.0, x.sum()):
+            break
     return x
 
 
@@ -165,9 +172,12 @@ class PackingPlan:
     containers: int
     solved_share: float
 
+    @cached_property
+    def _key(self) -> np.ndarray:
+        return (self.size.astype(np.int64) << 44) | self.start
+
     def container(self, size: np.ndarray, place: np.ndarray) -> np.ndarray:
-        key = (self.size.astype(np.int64) << 44) | self.start
-        at = np.searchsorted(key, (size.astype(np.int64) << 44) | place, side="right") - 1
+        at = np.searchsorted(self._key, (size.astype(np.int64) << 44) | place, side="right") - 1
         return self.first[at] + (place - self.start[at]) // self.copies[at]
 
 
@@ -229,12 +239,13 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", tokens: str = "n_
     rows = items.where("size > 0").groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()  # at most one row per length
     plan = plan_packing({r["size"]: r["n"] for r in rows}, capacity)
     last = max(1, plan.containers)
+    held = sizes.sparkSession.sparkContext.broadcast(plan)  # at most some rows for each length and pattern, see plan_packing
 
     @F.pandas_udf("bigint")
     def container(size: pd.Series, place: pd.Series) -> pd.Series:
         out, s, p = np.empty(len(size), dtype=np.int64), size.to_numpy(), place.to_numpy()
         out[s == 0] = p[s == 0] % last
-        out[s > 0] = plan.container(s[s > 0], p[s > 0])
+        out[s > 0] = held.value.container(s[s > 0], p[s > 0])
         return pd.Series(out)
 
     placed = with_ordinals(items, ["size"], ["doc_id", "piece"], "place")

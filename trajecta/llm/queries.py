@@ -15,7 +15,8 @@ def _features(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
 
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     features, catalogue = _features(spark, base)
-    return splits.alias_experiments(splits.entity_links(features, splits.catalogue_names(catalogue)))
+    links, _ = splits.split_links(features, catalogue)
+    return splits.alias_experiments(links)
 
 
 def p5_splits(spark: SparkSession, base: str) -> DataFrame:

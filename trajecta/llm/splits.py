@@ -6,8 +6,8 @@ experiments are bundled by identical size and label profile; split quotas are so
 with deviation costs; flows are rounded to whole components; members are assigned by hash.
 
 Scale: rows are first reduced to (experiment, name) pairs by a partial aggregate.  The graph is
-contracted to its entities (only experiments with several entities give edges) and solved by alternating
-large and small stars, cut by written tables, with hubs salted; components are never collected.  Bundles
+contracted to its entities (only experiments with several entities give edges) and solved in one task up to a
+counted size, else by alternating large and small stars, cut by written tables, with hubs salted; components are never collected.  Bundles
 are: N rows can make at most about sqrt(2 N) distinct sizes, times the profile's classes.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +32,12 @@ PROFILE_CLASSES = 5
 BROADCAST_PAIRS = 200_000
 #: Copies of a node's minimum that its edges are spread over.
 SALTS = 16
-#: Up to so many bundles single components are moved, and swapped, after rounding; with more, rounding alone is close.
-MOVED_BUNDLES, SWAPPED_BUNDLES = 5000, 400
-#: Bundles solved on the driver at most; far above sqrt(2 N) x classes for 100 TB of rows.
-MAX_BUNDLES = 20_000_000
+#: Edges between entities that one task joins by union-find (about 20 MB); more are contracted by stars.
+ONE_TASK_EDGES = 100_000
+#: Bundles solved on the driver at most, else an error; 2e10 rows make no more than 1,000,000.
+MAX_BUNDLES = 1_000_000
+#: Bundle rows that are broadcast at most.
+BROADCAST_BUNDLES = 200_000
 
 
 def catalogue_names(catalogue: DataFrame) -> MoleculeNames:
@@ -70,16 +73,39 @@ def alias_experiments(links: DataFrame) -> DataFrame:
     return links.where("alias and experiment is not null and molecule_id is not null").select(F.col("experiment").alias("experiment_id"), "molecule_id").distinct()
 
 
-def connected(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
+def connected(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60, one_task: int = ONE_TASK_EDGES) -> DataFrame:
     """(node, label) of every node of ``edges``; the label is the smallest node of its component.
 
-    Alternating large-star and small-star contraction: O(log^2) rounds, each written to the shared
-    folder.  Each round reads a node's minimum from a table spread over salts, so a hub's edges are
-    shared by many tasks.  Nodes without edges aren't in the result.  Self-loops and repeats are harmless.
+    Up to ``one_task`` distinct edges are joined in one task by union-find.  More are contracted by alternating
+    large and small stars: O(log^2) rounds, each written to the shared folder; each round reads a node's
+    minimum from a table spread over salts, so a hub's edges are shared by many tasks.  Both give the same
+    labels.  Nodes without edges aren't in the result.  Self-loops and repeats are harmless.
     """
     pairs = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     now = cut(pairs, "star")
-    before = None
+    if now.count() <= one_task:
+        return now.coalesce(1).mapInPandas(_union_find, f"node {now.schema['u'].dataType.simpleString()}, label {now.schema['u'].dataType.simpleString()}")
+    return _stars(now, most)
+
+
+def _union_find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for pdf in batches:
+        for u, v in zip(pdf["u"], pdf["v"], strict=True):
+            u, v = root(u), root(v)
+            parent[max(u, v)] = min(u, v)
+    yield pd.DataFrame([(x, root(x)) for x in list(parent)], columns=["node", "label"])
+
+
+def _stars(now: DataFrame, most: int) -> DataFrame:
+    pairs, before = now, None
     salt = F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int").alias("salt")
 
     def with_min(both: DataFrame) -> DataFrame:
@@ -104,7 +130,7 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> D
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(experiment, molecule_name, component, n, positives): the component of every pair that has an id or a name.
+    """(experiment, molecule_name, molecule_id, alias, component, n, positives): the component of every pair that has an id or a name.
 
     A pair's component is that of its entity, else that of its experiment's other rows, else the
     experiment alone.
@@ -115,12 +141,12 @@ def components(links: DataFrame) -> DataFrame:
     label = connected(ties, "lo", "hi")
     known = (
         links.where("entity is not null").join(label.withColumnRenamed("node", "entity"), "entity", "left")
-        .select("experiment", "molecule_name", F.coalesce("label", "entity").alias("component"), "n", "positives")
+        .select("experiment", "molecule_name", "molecule_id", "alias", F.coalesce("label", "entity").alias("component"), "n", "positives")
     )
     home = ends.select("experiment", F.col("lo").alias("node")).join(label, "node", "left").select("experiment", F.coalesce("label", "node").alias("home"))
     unnamed = (
         links.where("entity is null and experiment is not null").join(home, "experiment", "left")
-        .select("experiment", "molecule_name", F.coalesce("home", F.concat(F.lit("e:"), "experiment")).alias("component"), "n", "positives")
+        .select("experiment", "molecule_name", "molecule_id", "alias", F.coalesce("home", F.concat(F.lit("e:"), "experiment")).alias("component"), "n", "positives")
     )
     return known.unionByName(unnamed)
 
@@ -165,8 +191,9 @@ def allocate(bundles: dict[tuple[int, int], int], splits=SPLITS) -> dict[tuple[i
 
     The flow runs from profile classes to splits in rows.  Within quota it is free; beyond a class's own
     share of a split it costs 1 a row, beyond the split's total 3.  Flows are rounded to whole
-    components, large ones first, each left over to where most rows are missing; then single components are moved
-    or swapped while that lowers the total deviation.
+    components, large ones first, each left over to where most rows are missing.  Then, whatever the number of
+    bundles, the component or the swap of two that comes nearest to what a split has too much of is moved to
+    one that lacks rows, as long as that lowers the total deviation (``_repair``).
     """
     classes = sorted({c for _, c in bundles})
     rows = {c: sum(s * n for (s, k), n in bundles.items() if k == c) for c in classes}
@@ -213,55 +240,96 @@ def allocate(bundles: dict[tuple[int, int], int], splits=SPLITS) -> dict[tuple[i
         if not size:
             given[0] = n
         out[size, c] = given
-    sizes = sorted(out, reverse=True)
-    gap = lambda j, d=0: abs(goal[j] - have[j] - d)
-
-    def shift(i: int, j: int, give: tuple[int, int], take: tuple[int, int] | None = None) -> bool:
-        """Move one component from split i to j, perhaps against another, if that lowers the deviation."""
-        d = give[0] - (take[0] if take else 0)
-        if not out[give][i] or take and not out[take][j] or gap(i, -d) + gap(j, d) >= gap(i) + gap(j):
-            return False
-        for bundle, frm, to in ((give, i, j), *(((take, j, i),) if take else ())):
-            out[bundle][frm] -= 1
-            out[bundle][to] += 1
-        have[i] -= d
-        have[j] += d
-        return True
-
-    turns = [(i, j) for i in range(m) for j in range(m) if i != j]
-    improved = len(sizes) <= MOVED_BUNDLES
-    while improved:
-        improved = any([shift(i, j, b) for b in sizes for i, j in turns])
-        if not improved and len(sizes) <= SWAPPED_BUNDLES:
-            improved = any([shift(i, j, b, c) for b in sizes for c in sizes if b[0] > c[0] for i, j in turns])
-    return out
+    return _repair(out, [h - g for h, g in zip(have, goal, strict=True)])
 
 
-def assign_splits(features: DataFrame, catalogue: DataFrame, splits=SPLITS, row_id: str = "load_id", label: str = "converged") -> DataFrame:
-    """(load_id, component, split): the split of every row.
+def _repair(out: dict[tuple[int, int], list[int]], over: list[int]) -> dict[tuple[int, int], list[int]]:
+    """Moves and swaps single components between splits; ``over`` is what each split has too many rows of.
 
-    Rows without id and name are components of their own.  Ties in a bundle are decided by the hash of
-    the component.  An empty table gives no rows.
+    Candidates are found by bisection in the sorted sizes, so a step costs B log B for B bundles.
+    """
+    keys = sorted(k for k in out if k[0])
+    sizes, held = np.array([k[0] for k in keys], dtype=np.int64), np.array([out[k] for k in keys], dtype=np.int64).reshape(len(keys), len(over))
+    over = np.array(over, dtype=np.int64)
+
+    def nearest(have: np.ndarray, want: np.ndarray) -> np.ndarray:
+        """For each of ``want`` the place in ``have`` (ascending) of the nearest value."""
+        at = np.clip(np.searchsorted(have, want), 1, max(1, len(have) - 1))
+        return np.where((len(have) == 1) | (np.abs(have[at - 1] - want) <= np.abs(have[np.minimum(at, len(have) - 1)] - want)), at - 1, at)
+
+    while len(keys):
+        best = (0, 0, 0, 0, -1)  # gain, from, to, bundle given, bundle taken
+        for i in np.flatnonzero(over > 0):
+            for j in np.flatnonzero(over < 0):
+                here, there = np.flatnonzero(held[:, i]), np.flatnonzero(held[:, j])
+                target = min(over[i], -over[j])
+                before = abs(over[i]) + abs(over[j])
+                options = []
+                if len(here):
+                    g = here[nearest(sizes[here], np.array([target]))[0]]
+                    options.append((g, -1, sizes[g]))
+                if len(here) and len(there):
+                    t = there[nearest(sizes[there], sizes[here] - target)]
+                    k = int(np.argmin(np.abs(sizes[here] - sizes[t] - target)))
+                    options.append((here[k], t[k], sizes[here[k]] - sizes[t[k]]))
+                for g, t, d in options:
+                    gain = before - abs(over[i] - d) - abs(over[j] + d)
+                    if gain > best[0]:
+                        best = (gain, i, j, g, t)
+        if not best[0]:
+            break
+        _, i, j, g, t = best
+        d = sizes[g] - (sizes[t] if t >= 0 else 0)
+        held[g, i] -= 1
+        held[g, j] += 1
+        if t >= 0:
+            held[t, j] -= 1
+            held[t, i] += 1
+        over[i] -= d
+        over[j] += d
+    return {**out, **{k: [int(x) for x in row] for k, row in zip(keys, held, strict=True)}}
+
+
+def _alone(label: str, row_id: str):
+    """(condition of rows with neither id nor name, the component such a row is)."""
+    return F.col("experiment_id").isNull() & (F.col("molecule_name").isNull() | (F.trim("molecule_name") == "")), F.concat(F.lit("r:"), F.col(row_id).cast("string"))
+
+
+def split_links(features: DataFrame, catalogue: DataFrame, splits=SPLITS, row_id: str = "load_id", label: str = "converged") -> tuple[DataFrame, DataFrame]:
+    """(links with their component and split, component -> split), both written once.
+
+    Links are the distinct (experiment, name) pairs of ``entity_links``.
     """
     links = cut(entity_links(features, catalogue_names(catalogue), label), "links")
     placed = cut(components(links), "components")
-    alone = F.col("experiment_id").isNull() & (F.col("molecule_name").isNull() | (F.trim("molecule_name") == ""))
-    singles = features.where(alone).select(F.concat(F.lit("r:"), F.col(row_id).cast("string")).alias("component"), F.lit(1).cast("bigint").alias("size"), F.coalesce(F.col(label).cast("bigint"), F.lit(0)).alias("positives"))
+    alone, own = _alone(label, row_id)
+    singles = features.where(alone).select(own.alias("component"), F.lit(1).cast("bigint").alias("size"), F.coalesce(F.col(label).cast("bigint"), F.lit(0)).alias("positives"))
     comps = placed.groupBy("component").agg(F.sum("n").alias("size"), F.sum("positives").alias("positives")).unionByName(singles)
     comps = comps.withColumn("profile", F.round(F.col("positives") / F.col("size") * (PROFILE_CLASSES - 1)).cast("int"))
-    rows = comps.groupBy("size", "profile").agg(F.count(F.lit(1)).alias("n")).limit(MAX_BUNDLES + 1).collect()
+    rows = comps.groupBy("size", "profile").agg(F.count(F.lit(1)).alias("n")).limit(MAX_BUNDLES + 1).collect()  # counted: more is an error
     if len(rows) > MAX_BUNDLES:
         raise ValueError(f"more than {MAX_BUNDLES} bundles; use fewer PROFILE_CLASSES")
     shares = allocate({(r["size"], r["profile"]): r["n"] for r in rows}, splits)
-    spark = features.sparkSession
     ends = [(s, c, [sum(g[: j + 1]) for j in range(len(g))]) for (s, c), g in shares.items()]
-    bounds = F.broadcast(spark.createDataFrame(ends, "size bigint, profile int, ends array<bigint>"))  # one row per bundle
+    bounds = features.sparkSession.createDataFrame(ends, "size bigint, profile int, ends array<bigint>")
+    bounds = F.broadcast(bounds) if len(ends) <= BROADCAST_BUNDLES else bounds
     ranked = with_ordinals(comps, ["size", "profile"], ["component"], "place").join(bounds, ["size", "profile"])
     chosen = F.element_at(F.array(*[F.lit(n) for n, _ in splits]), (F.size(F.filter("ends", lambda e: e <= F.col("place"))) + 1).cast("int"))
     split_of = cut(ranked.select("component", chosen.alias("split")), "split-of")
-    by_pair = placed.join(split_of, "component").select(F.col("experiment").alias("__e"), F.col("molecule_name").alias("__m"), "component", "split")
-    by_pair = F.broadcast(by_pair) if placed.count() <= BROADCAST_PAIRS else by_pair
+    return cut(placed.join(split_of, "component"), "split-links"), split_of
+
+
+def assign_splits(features: DataFrame, catalogue: DataFrame, splits=SPLITS, row_id: str = "load_id", label: str = "converged") -> DataFrame:
+    """(load_id, component, split): the split of every row.
+
+    Rows without id and name are components of their own.  Ties in a bundle are decided by the hash of
+    the component.  An empty table gives no rows.
+    """
+    links, split_of = split_links(features, catalogue, splits, row_id, label)
+    alone, own = _alone(label, row_id)
+    by_pair = links.select(F.col("experiment").alias("__e"), F.col("molecule_name").alias("__m"), "component", "split")
+    by_pair = F.broadcast(by_pair) if links.count() <= BROADCAST_PAIRS else by_pair
     keyed = features.select(row_id, F.lower(F.regexp_replace("experiment_id", r"^\s+|\s+$", "")).alias("__x"), F.col("molecule_name").alias("__y"), alone.alias("__alone"))
     named = keyed.where("not __alone").join(by_pair, F.col("__x").eqNullSafe(F.col("__e")) & F.col("__y").eqNullSafe(F.col("__m"))).select(row_id, "component", "split")
-    lone = keyed.where("__alone").select(row_id, F.concat(F.lit("r:"), F.col(row_id).cast("string")).alias("component")).join(split_of, "component").select(row_id, "component", "split")
+    lone = keyed.where("__alone").select(row_id, own.alias("component")).join(split_of, "component").select(row_id, "component", "split")
     return named.unionByName(lone)
