@@ -94,8 +94,45 @@ def test_unified_table_reads_every_name_and_form(spark):
     ])
     records = cut(drift.record_fields(messages, files))
     names = drift.aliases(drift.schema_changes(records))
-    table = drift.unified_table(messages, {"vqe_result.nuclear_repulsion_energy": "double", "vqe_result.initial_data.exact_estimator": "boolean"}, names)
-    assert [(r[2], r[3]) for r in table.orderBy("record_id").collect()] == [(1.5, True), (2.5, False), (3.5, True), (None, None)]
+    table = drift.compiled_table(messages, drift.unified_columns(messages, names)).orderBy("record_id")
+    assert [(r.nuclear_repulsion_energy, r.exact_estimator) for r in table.collect()] == [(1.5, True), (2.5, False), (3.5, True), (None, None)]
+
+
+def test_a_name_that_means_different_things_in_different_lanes(spark):
+    """Lane 1 renames a to x, lane 2 b to x, and a and b meet in lane 3: each lane keeps its own projection."""
+    one, f1 = lane(spark, [[payload({"a_energy": 1.0})], [payload({"x_energy": 2.0})], [payload({"x_energy": 2.5})]], 1)
+    two, f2 = lane(spark, [[payload({"b_energy": 3.0})], [payload({"x_energy": 4.0})]], 2)
+    three, f3 = lane(spark, [[payload({"a_energy": 5.0, "b_energy": 6.0})]], 3)
+    shift = lambda df, k: df.withColumn("file_id", F.col("file_id") + 10 * k)
+    messages = one.unionByName(shift(two, 1).withColumn("record_id", F.col("record_id") + 10)).unionByName(shift(three, 2).withColumn("record_id", F.col("record_id") + 20))
+    files = f1.unionByName(shift(f2, 1)).unionByName(shift(f3, 2))
+    records = cut(drift.record_fields(messages, files))
+    schemas = cut(drift.file_schemas(records))
+    evidence = drift.RenameEvidence({("vqe_result.a_energy", "vqe_result.x_energy"): 0.2, ("vqe_result.b_energy", "vqe_result.x_energy"): 0.2})
+    names = drift.aliases(drift.schema_changes(records, schemas, evidence), records)
+    assert names == {"vqe_result.a_energy": ["vqe_result.a_energy", "vqe_result.x_energy"]}
+    overrides = drift.lane_overrides(schemas, evidence, names)
+    assert [(r.file_id, r.renames) for r in overrides.collect()] == [(12, {"vqe_result.x_energy": "vqe_result.b_energy"})]
+    table = drift.compiled_table(messages, drift.unified_columns(messages, names, overrides=overrides), overrides=overrides)
+    assert sorted((r.record_id, r.a_energy, r.b_energy) for r in table.collect()) == [(0, 1.0, None), (1, 2.0, None), (2, 2.5, None), (10, None, 3.0), (11, None, 4.0), (20, 5.0, 6.0)]
+
+
+def test_fields_without_texts_are_renamed_by_range_and_history(spark):
+    """true/false fields whose names don't resemble each other, changed together in several lanes."""
+    parts = [lane(spark, [[payload(None, {"exact_estimator": n % 2 == 0, "w": 1})], [payload(None, {"noiseless": n % 2 == 1, "w": 1})]], n) for n in range(8)]
+    shift = lambda df, k: df.withColumn("file_id", F.col("file_id") + 10 * k)
+    messages, files = (shift(parts[0][i], 0) for i in (0, 1))
+    for k, (m, f) in enumerate(parts[1:], 1):
+        messages, files = messages.unionByName(shift(m, k)), files.unionByName(shift(f, k))
+    assert changes(messages, files) == {(10 * k + 2, "initial_data.noiseless", "renamed") for k in range(8)}
+    lonely, listing = parts[0]  # in a single lane nothing says so
+    assert changes(lonely, listing) == {(2, "initial_data.exact_estimator", "removed"), (2, "initial_data.noiseless", "added")}
+
+
+def test_evidence_counts_every_value_whatever_its_length(spark):
+    long = ["x" * 5000 + str(i) for i in range(200)]
+    messages, files = lane(spark, [[payload({"alpha": v}) for v in long], [payload({"beta": v}) for v in long]])
+    assert changes(messages, files) == {(2, "beta", "renamed")}
 
 
 def test_unified_columns_cover_every_field_of_every_file(spark):

@@ -37,8 +37,10 @@ MOVE, RETYPE, FORBIDDEN = 0.4, 0.25, 9.0
 RENAME_LIMIT = 0.62
 #: SQL pattern of a string leaf in JSON text.
 STRING_LEAF = r"""r':"((?:[^"\\]|\\.)*)"'"""
-#: Distinct values of a field that are compared, the most frequent first; names kept for evidence.
-PROFILE_VALUES, MAX_NAMES = 64, 20_000
+#: Pairs of field names that drift at most, else an error: they are evidence about names, not data.
+MAX_NAMES = 20_000
+#: A pair whose vanishing and appearing fall together so often (share, files) is evidence where there is no text.
+HISTORY_SHARE, HISTORY_FILES = 0.8, 5
 
 
 def _json_type(kind: str) -> str:
@@ -52,8 +54,8 @@ def _json_type(kind: str) -> str:
 def record_fields(messages: DataFrame, files: DataFrame, roots: tuple[str, ...] = ROOTS) -> DataFrame:
     """(lane_id, file_seq, file_id, line_no, fields): the fields of each record of the files with a file_seq.
 
-    ``fields`` is an array of (path, kind, text), sorted by path; ``text`` has the string leaves of short
-    strings and objects.  Invalid JSON and records without any root have no fields; a root that isn't an
+    ``fields`` is an array of (path, kind, text, number), sorted by path; ``text`` has the hashes of the string
+    leaves of strings and objects, ``number`` the value of numbers and booleans (0 or 1).  Invalid JSON and records without any root have no fields; a root that isn't an
     object has none.
     """
     placed = files.where("file_seq is not null and lane_id is not null").select("file_id", "lane_id", "file_seq")
@@ -62,8 +64,10 @@ def record_fields(messages: DataFrame, files: DataFrame, roots: tuple[str, ...]
     entry = (
         "transform(transform(map_entries({m}), e -> named_struct('path', '{r}.' || e.key, 'value', e.value, 'kind', schema_of_variant(e.value))), "
         "e -> named_struct('path', e.path, 'kind', {kind}, 'text', "
-        "case when e.kind = 'STRING' and length(e.value::string) <= 200 then array(e.value::string) "
-        "when e.kind like 'OBJECT%' then regexp_extract_all(to_json(e.value), {leaf}, 1) end))"
+        "transform(case when e.kind = 'STRING' then array(e.value::string) "
+        "when e.kind like 'OBJECT%' then regexp_extract_all(to_json(e.value), {leaf}, 1) end, x -> xxhash64(x)), 'number', "
+        "case when e.kind = 'BOOLEAN' then cast(try_variant_get(e.value, '$', 'boolean') as double) "
+        "when e.kind != 'STRING' and e.kind not like 'OBJECT%' and e.kind not like 'ARRAY%' then try_variant_get(e.value, '$', 'double') end))"
     )
     parts = [f"coalesce({entry.format(m=f'm{i}', r=r, kind=_json_type('e.kind'), leaf=STRING_LEAF)}, array())" for i, r in enumerate(roots)]
     fields = maps.select("file_id", "line_no", F.expr(f"array_sort(concat({', '.join(parts)}))").alias("fields"))
@@ -111,12 +115,12 @@ def name_likeness(a: str, b: str) -> float:
     return total / len(short) if short else 0.0
 
 
-def value_likeness(a: dict[str, int], b: dict[str, int]) -> float | None:
-    """Share of the lighter profile's weight that the other one knows; None without values on both sides."""
-    if not a or not b:
+def range_likeness(a: tuple[float, float] | None, b: tuple[float, float] | None) -> float | None:
+    """Overlap of two ranges (mean and deviation), as the shorter one's share; None without numbers on both sides."""
+    if a is None or b is None:
         return None
-    small, large = sorted((a, b), key=lambda d: sum(d.values()))
-    return sum(n for v, n in small.items() if v in large) / sum(small.values())
+    (lo, hi), (lo2, hi2) = ((m - 2 * d - 1e-9 * abs(m) - 1e-12, m + 2 * d + 1e-9 * abs(m) + 1e-12) for m, d in (a, b))
+    return max(0.0, min(hi, hi2) - max(lo, lo2)) / min(hi - lo, hi2 - lo2)
 
 
 def chained(costs: dict[tuple[str, str], float], together: set[tuple[str, str]]) -> dict[tuple[str, str], float]:
@@ -163,20 +167,53 @@ def rename_evidence(records: DataFrame, schemas: DataFrame) -> RenameEvidence:
     rows = pairs.join(met.withColumn("met", F.lit(True)), ["a", "b"], "left").limit(MAX_NAMES + 1).collect()  # as many as pairs of names, not of data
     if len(rows) > MAX_NAMES:
         raise ValueError(f"more than {MAX_NAMES} pairs of field names drift; split the corpus by producer")
-    values = records.select(F.explode("fields").alias("f")).select(F.col("f.path").alias("path"), F.explode("f.text").alias("value")).groupBy("path", "value").agg(F.count(F.lit(1)).alias("n"))
-    top = Window.partitionBy("path").orderBy(F.desc("n"), "value")
-    kept = values.join(wanted, "path", "left_semi").withColumn("r", F.row_number().over(top)).where(F.col("r") <= PROFILE_VALUES)
-    profiles: dict[str, dict[str, int]] = {}
-    for r in kept.collect():  # names x PROFILE_VALUES rows at most
-        profiles.setdefault(r["path"], {})[r["value"]] = r["n"]
     together = {(r["a"], r["b"]) for r in rows if r["met"]}
-    return RenameEvidence(chained({(r["a"], r["b"]): rename_cost(r["a"], r["b"], profiles) for r in rows}, together))
-
-
-def rename_cost(a: str, b: str, profiles: dict[str, dict[str, int]]) -> float:
-    """0 (surely one quantity) to 1, and MOVE more where the parent differs."""
-    names, values = name_likeness(a, b), value_likeness(profiles.get(a, {}), profiles.get(b, {}))
+    seen = records.select(F.explode("fields").alias("f")).select("f.path", "f.kind", "f.text", "f.number").join(F.broadcast(wanted) if len(rows) <= 2_000 else wanted, "path", "left_semi")
+    # every value counts: profiles meet in equi-joins, and only one figure for each pair is collected
+    values = cut(seen.select("path", F.explode("text").alias("value")).groupBy("path", "value").agg(F.count(F.lit(1)).alias("n")), "drift-values")
+    weights = {r["path"]: r["n"] for r in values.groupBy("path").agg(F.sum("n").alias("n")).collect()}
+    here, there = values.toDF("a", "value", "n"), values.toDF("b", "value", "n2")
+    shared = {
+        (r["a"], r["b"]): (r["n"], r["n2"])
+        for r in pairs.join(here, "a").join(there, ["b", "value"]).groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("n2").alias("n2")).collect()
+    }
+    ranges = {
+        (r["path"], r["boolean"]): (r["m"], r["d"] or 0.0)
+        for r in seen.where("number is not null").groupBy("path", (F.col("kind") == "boolean").alias("boolean")).agg(F.avg("number").alias("m"), F.stddev_pop("number").alias("d")).collect()
+    }
+    # how often both changes fall together, of the files that show either
+    gone = {r["a"]: r["n"] for r in _side_counts(step, "before", "paths", "a")}
+    come = {r["b"]: r["n"] for r in _side_counts(step, "paths", "before", "b")}
+    both = step.select(F.explode(F.array_except("before", "paths")).alias("a"), F.array_except("paths", "before").alias("come")).select("a", F.explode("come").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    history = {(r["a"], r["b"]): (r["n"], max(gone[r["a"]], come[r["b"]])) for r in both.collect()}
+
+    def cost(a: str, b: str) -> float:
+        likeness = None
+        if a in weights and b in weights:
+            n, n2 = shared.get((a, b), (0, 0))
+            likeness = n / weights[a] if weights[a] <= weights[b] else n2 / weights[b]
+        numbers = next((x for k in (False, True) if (x := range_likeness(ranges.get((a, k)), ranges.get((b, k)))) is not None), None)
+        return rename_cost(a, b, likeness, numbers, history.get((a, b), (0, 1)))
+
+    return RenameEvidence(chained({(r["a"], r["b"]): cost(r["a"], r["b"]) for r in rows}, together))
+
+
+def _side_counts(step: DataFrame, more: str, less: str, name: str) -> list:
+    """How many files lose (or gain) each path; as many rows as field names."""
+    return step.select(F.explode(F.array_except(more, less)).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n")).collect()
+
+
+def rename_cost(a: str, b: str, values: float | None, numbers: float | None = None, history: tuple[int, int] = (0, 1)) -> float:
+    """0 (surely one quantity) to 1, and MOVE more where the parent differs.
+
+    ``values`` is the likeness of the texts both carry, ``numbers`` that of their ranges, ``history`` how many
+    files change both names, of those that change either.  Without texts, names that don't resemble each other may
+    still be one quantity where their ranges agree and one keeps appearing just where the other vanishes.
+    """
+    names = name_likeness(a, b)
     base = 1.0 - names if values is None else 1.0 - max(0.75 * names + 0.25 * values, 0.9 * values if values > 0.5 else 0.0)
+    if values is None and numbers is not None and numbers > 0.5 and history[0] >= HISTORY_FILES and history[0] >= HISTORY_SHARE * history[1]:
+        base = min(base, 1.0 - 0.6 * history[0] / history[1])
     return base + (MOVE if a.rsplit(".", 1)[0] != b.rsplit(".", 1)[0] else 0.0)
 
 
@@ -288,27 +325,61 @@ def schema_changes(records: DataFrame, schemas: DataFrame | None = None, evidenc
     return schemas.groupBy("lane_id").applyInPandas(fold, f"lane_id {lane}, file_id bigint, file_seq int, field_path string, change_kind string, old_path string")
 
 
-def aliases(changes: DataFrame) -> dict[str, list[str]]:
+def names_that_meet(records: DataFrame, names: list[str]) -> set[tuple[str, str]]:
+    """Pairs (a < b) of ``names`` that some record has both of.  As many rows as pairs of names, at most MAX_NAMES."""
+    own = F.filter(F.array_sort(F.array_distinct("fields.path")), lambda p: p.isin(*names))
+    sets = records.select(own.alias("paths")).where("size(paths) > 1").distinct()
+    rows = sets.select("paths", F.explode("paths").alias("a")).select("a", F.explode("paths").alias("b")).where("a < b").distinct().limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} pairs of renamed fields; split the corpus by producer")
+    return {(r["a"], r["b"]) for r in rows}
+
+
+def aliases(changes: DataFrame, records: DataFrame | None = None) -> dict[str, list[str]]:
     """Canonical path -> all paths of the quantity, from the renames of the whole corpus (as many as field names).
 
-    The canonical name is the one most often renamed away from first seen; ties by name.
+    The canonical name is the one most often renamed away from; ties by name.  The commonest renames are
+    taken first; with ``records`` a rename that would unite names which meet in a record is left to
+    ``lane_overrides``: there a name stands for different quantities in different lanes.
     """
     links = changes.where("old_path is not null").groupBy("old_path", "field_path").agg(F.count(F.lit(1)).alias("n")).collect()
-    parent: dict[str, str] = {}
-
-    def root(p: str) -> str:
-        while parent.setdefault(p, p) != p:
-            p = parent[p]
-        return p
-
+    met = names_that_meet(records, sorted({p for r in links for p in (r["old_path"], r["field_path"])})) if records is not None and links else set()
+    group: dict[str, set[str]] = {}
     left: dict[str, int] = {}
-    for r in links:
-        parent[root(r["field_path"])] = root(r["old_path"])
+    for r in sorted(links, key=lambda r: (-r["n"], r["old_path"], r["field_path"])):
+        a, b = (group.setdefault(p, {p}) for p in (r["old_path"], r["field_path"]))
         left[r["old_path"]] = left.get(r["old_path"], 0) + r["n"]
-    groups: dict[str, list[str]] = {}
-    for p in sorted(parent):
-        groups.setdefault(root(p), []).append(p)
-    return {max(sorted(g), key=lambda p: left.get(p, 0)): g for g in groups.values()}
+        if a is not b and not any((min(x, y), max(x, y)) in met for x in a for y in b):
+            a |= b
+            for p in b:
+                group[p] = a
+    groups = {id(g): sorted(g) for g in group.values() if len(g) > 1}
+    return {max(g, key=lambda p: left.get(p, 0)): g for g in groups.values()}
+
+
+def lane_overrides(schemas: DataFrame, evidence: RenameEvidence, names: dict[str, list[str]]) -> DataFrame:
+    """(file_id, renames): path -> canonical path in files whose lane reached the name otherwise than the corpus did.
+
+    A lane's scripts are followed from its first file on, so each schema version has a projection of its own.
+    """
+    canon = {p: c for c, g in names.items() for p in g}
+
+    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+        out, first, before = [], {}, None  # first: the name under which the lane's quantity was first seen
+        for f in pdf.sort_values(["file_seq", "file_id"]).itertuples():
+            now = dict(zip(f.paths, f.firsts, strict=True))
+            if before is not None:
+                for _, old, new in edit_script(before, now, evidence):
+                    if new:
+                        first[new] = first.get(old, old) if old else new
+            before = now
+            renamed = {p: canon.get(first.get(p, p), first.get(p, p)) for p in f.paths}
+            renamed = {p: c for p, c in renamed.items() if c != canon.get(p, p)}
+            if renamed:
+                out.append((f.file_id, list(renamed), list(renamed.values())))
+        return pd.DataFrame(out, columns=["file_id", "a", "b"])
+
+    return schemas.groupBy("lane_id").applyInPandas(follow, "file_id bigint, a array<string>, b array<string>").select("file_id", F.map_from_arrays("a", "b").alias("renames"))
 
 
 #: Keys under which an object keeps the value that other records write plainly, if the values don't tell.
@@ -365,16 +436,36 @@ def _counts(kind: F.Column, value: str = "value") -> list[F.Column]:
 COUNTS = ("booleans", "numbers", "texts", "nested", "bits", "integers", "boolean_texts", "integer_texts", "double_texts")
 
 
-def _quantities(messages: DataFrame, names: dict[str, list[str]], roots: tuple[str, ...]) -> DataFrame:
-    """(quantity, kind, value): every field of every record that isn't null, whatever its file."""
+#: Files with renames of their own that are broadcast at most.
+BROADCAST_OVERRIDES = 100_000
+
+
+def _entries(messages: DataFrame, roots: tuple[str, ...], overrides: DataFrame | None) -> DataFrame:
+    """(record_id, file_id, entries): path and value of every field of every record, names as in ``overrides``."""
     rows = with_json(spread(messages.select("record_id", "file_id", "payload")), "record_id", "file_id")
-    maps = rows.select(*[F.expr(f"try_variant_get(v, '$.{r}', 'map<string,variant>')").alias(f"m{i}") for i, r in enumerate(roots)])
+    maps = rows.select("record_id", "file_id", *[F.expr(f"try_variant_get(v, '$.{r}', 'map<string,variant>')").alias(f"m{i}") for i, r in enumerate(roots)])
     entries = F.concat(*[F.expr(f"coalesce(transform(map_entries(m{i}), e -> struct('{r}.' || e.key as path, e.value as value)), array())") for i, r in enumerate(roots)])
+    out = maps.select("record_id", "file_id", entries.alias("entries"))
+    if overrides is None:
+        return out
+    held = cut(overrides, "drift-overrides")
+    n = held.count()
+    if not n:
+        return out
+    joined = out.join(F.broadcast(held) if n <= BROADCAST_OVERRIDES else held, "file_id", "left")
+    named = F.expr("transform(entries, e -> struct(coalesce(try_element_at(renames, e.path), e.path) as path, e.value as value))")
+    return joined.withColumn("entries", F.when(F.col("renames").isNull(), F.col("entries")).otherwise(named)).withColumn(  # two names of one quantity: the first holds
+        "entries", F.expr("case when renames is null then entries else filter(entries, (e, i) -> array_position(entries.path, e.path) = i + 1) end")
+    ).select("record_id", "file_id", "entries")
+
+
+def _quantities(messages: DataFrame, names: dict[str, list[str]], roots: tuple[str, ...], overrides: DataFrame | None = None) -> DataFrame:
+    """(quantity, kind, value): every field of every record that isn't null, whatever its file."""
     known = {p: c for c, g in names.items() for p in g}
     quantity = F.col("e.path")
     if known:
         quantity = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), F.col("e.path")), quantity)
-    rows = maps.select(F.explode(entries).alias("e")).where(~F.col("e.path").isin(*roots)).select(quantity.alias("quantity"), F.col("e.value").alias("value"))
+    rows = _entries(messages, roots, overrides).select(F.explode("entries").alias("e")).where(~F.col("e.path").isin(*roots)).select(quantity.alias("quantity"), F.col("e.value").alias("value"))
     return rows.withColumn("kind", F.expr(_json_type("schema_of_variant(value)"))).where("kind != 'null'")
 
 
@@ -382,7 +473,7 @@ def _add(*counts: dict[str, int]) -> dict[str, int]:
     return {k: sum(c[k] for c in counts) for k in COUNTS}
 
 
-def unified_columns(messages: DataFrame, names: dict[str, list[str]], roots: tuple[str, ...] = ROOTS) -> dict[str, Source]:
+def unified_columns(messages: DataFrame, names: dict[str, list[str]], roots: tuple[str, ...] = ROOTS, overrides: DataFrame | None = None) -> dict[str, Source]:
     """Column name -> source: every quantity of the corpus with the most general type it has.
 
     A quantity that is always an object or always an array keeps that form.  Where it is plain in some
@@ -390,7 +481,7 @@ def unified_columns(messages: DataFrame, names: dict[str, list[str]], roots: tup
     its values that occur plainly, else by MAIN_KEYS) is read into the column and every other part into
     a column of its own, so nothing is dropped.  Collected: one row per field name and part.
     """
-    fields = _quantities(messages, names, roots)
+    fields = _quantities(messages, names, roots, overrides)
     whole = fields.groupBy("quantity").agg(
         *_counts("kind"), F.count_if(F.col("kind") == "object").alias("objects"), F.count_if(F.col("kind") == "array").alias("arrays"),
         F.max(F.expr("case when kind = 'array' then size(try_variant_get(value, '$', 'array<variant>')) end")).alias("longest"), F.expr("schema_of_variant_agg(value)").alias("schema"),
@@ -468,20 +559,18 @@ def _parts(fields: DataFrame) -> tuple[dict, dict]:
     return counts, likeness
 
 
-def compiled_table(messages: DataFrame, columns: dict[str, Source], roots: tuple[str, ...] = ROOTS) -> DataFrame:
+def compiled_table(messages: DataFrame, columns: dict[str, Source], roots: tuple[str, ...] = ROOTS, overrides: DataFrame | None = None) -> DataFrame:
     """(record_id, file_id, one column for each source) of every record, all null for invalid JSON.
 
     Names of a quantity never meet in a record, so the first one that is there is its value.
     """
-    rows = with_json(spread(messages.select("record_id", "file_id", "payload")), "record_id", "file_id")
-    maps = rows.select("record_id", "file_id", *[F.expr(f"try_variant_get(v, '$.{r}', 'map<string,variant>')").alias(f"m{i}") for i, r in enumerate(roots)])
+    maps = _entries(messages, roots, overrides).select("record_id", "file_id", F.map_from_entries("entries").alias("m"))
 
     def get(value: F.Column, kind: str) -> F.Column:
         return F.try_variant_get(value, "$", kind)
 
     def read(path: str, s: Source) -> F.Column:
-        parent, key = max(((r, path[len(r) + 1 :]) for r in roots if path.startswith(r + ".")), key=lambda x: len(x[0]))
-        value = F.try_element_at(F.col(f"m{roots.index(parent)}"), F.lit(key))
+        value = F.try_element_at(F.col("m"), F.lit(path))
         if s.whole:
             return get(value, s.kind)
         form = F.schema_of_variant(value)
@@ -490,24 +579,3 @@ def compiled_table(messages: DataFrame, columns: dict[str, Source], roots: tuple
         return part.otherwise(get(value, s.kind)) if s.plain else part
 
     return maps.select("record_id", "file_id", *[F.coalesce(*[read(p, s) for p in s.paths]).alias(name) for name, s in columns.items()])
-
-
-def unified_table(messages: DataFrame, columns: dict[str, str], names: dict[str, list[str]]) -> DataFrame:
-    """(record_id, file_id, one column for each entry of ``columns``: canonical path -> SQL type) of every record, all null for invalid JSON.
-
-    The rename scripts compiled into one projection: names of a quantity never meet in a record, so the
-    first that is there is its value.  An object with a ``value`` (or ``name``) field counts as that
-    value; text, numbers and booleans are cast; what can't be cast is null.
-    """
-    rows = with_json(spread(messages.select("record_id", "file_id", "payload")), "record_id", "file_id")
-
-    def read(path: str, kind: str) -> str:
-        whole = f"try_variant_get(v, '$.{path}', '{kind}')"
-        inner = f"coalesce(try_variant_get(v, '$.{path}.value', '{kind}'), try_variant_get(v, '$.{path}.name', '{kind}'))"
-        return f"coalesce({inner}, case when schema_of_variant(try_variant_get(v, '$.{path}', 'variant')) not like 'OBJECT%' then {whole} end)"
-
-    out = []
-    for path, kind in columns.items():
-        known = next((g for g in names.values() if path in g), [path])
-        out.append(F.expr(f"coalesce({', '.join(read(p, kind) for p in [path, *[q for q in known if q != path]])})").alias(path.rsplit(".", 1)[-1]))
-    return rows.select("record_id", "file_id", *out)

@@ -17,7 +17,11 @@ def p1_found(spark: SparkSession, base: str) -> DataFrame:
 def p1_unified(spark: SparkSession, base: str) -> DataFrame:
     messages = read_table(spark, base, "run_messages")
     records = cut(drift.record_fields(messages, read_table(spark, base, "run_files")), "drift-records")
-    return drift.compiled_table(messages, drift.unified_columns(messages, drift.aliases(drift.schema_changes(records))))
+    schemas = cut(drift.file_schemas(records), "drift-schemas")
+    evidence = drift.rename_evidence(records, schemas)
+    names = drift.aliases(drift.schema_changes(records, schemas, evidence), records)
+    overrides = cut(drift.lane_overrides(schemas, evidence, names), "drift-overrides")
+    return drift.compiled_table(messages, drift.unified_columns(messages, names, overrides=overrides), overrides=overrides)
 
 
 def _plan(spark: SparkSession, base: str) -> DataFrame:
