@@ -126,7 +126,7 @@ def _fingerprint(df: DataFrame, columns: list[str]) -> tuple[int, str]:
     return row[0], row[1]
 
 
-def pack_splits(spark: SparkSession, read, out: str, target_bytes: int = MIB, write_format: str = "json", source_bytes: int | None = None, expansion: float = 1.0, open_cost: int = 4096, max_rows_per_file: int | None = None, tasks: int | None = None) -> dict:
+def pack_splits(spark: SparkSession, read, out: str, target_bytes: int = MIB, write_format: str = "json", source_bytes: int | None = None, expansion: float = 1.0, open_cost: int = 4096, max_rows_per_file: int | None = None, tasks: int | None = None, partition_by: list[str] | None = None) -> dict:
     """Write what ``read()`` yields as few files of about ``target_bytes`` under ``out``; return what was done.
 
     ``read`` builds the DataFrame anew; it is called while ``maxPartitionBytes`` is
@@ -149,6 +149,8 @@ def pack_splits(spark: SparkSession, read, out: str, target_bytes: int = MIB, wr
         writer = packed.write.mode("errorifexists")
         if max_rows_per_file:
             writer = writer.option("maxRecordsPerFile", max_rows_per_file)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.format(write_format).save(staging)
         # the staged side is read as written, the source once more; both give count and checksum
         columns = df.columns

@@ -19,6 +19,8 @@ init_strategy: string, seed: int, ansatz_name: string, exact_estimator: boolean>
 iteration_list: array<struct<iteration: int, parameters: array<double>, result: double, std: double, energy_delta: double, parameter_delta_norm: double, cumulative_min_energy: double>>,
 minimum: double, optimal_parameters: array<double>, maxcv: double, minimization_time: double, nuclear_repulsion_energy: double, success: boolean, nfev: int, nit: int>"""
 
+#: Names of the raw record's columns.
+RAW_NAMES = "molecule_id basis_set hamiltonian_time mapping_time vqe_time total_time performance_start performance_end molecule vqe_result".split()
 _D, _R, _I = "molecule.molecule_data", "vqe_result", "vqe_result.initial_data"
 
 
@@ -104,11 +106,11 @@ def with_batch(df: DataFrame, name: str, now: datetime, batch: str | None = None
 def new_records(df: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
     """Rows whose key isn't in ``existing``; rows with a null key go, on creation as on append."""
     filled = df.na.drop(subset=keys)
-    return filled if existing is None else filled.join(existing.select(*keys).distinct(), keys, "left_anti")
+    return filled if existing is None else filled.join(existing.select(*keys), keys, "left_anti")
 
 
 def restrict(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return df.join(ids.select(key).distinct(), key, "left_semi")
+    return df.join(ids.select(key), key, "left_semi")
 
 
 def fan_out(dimension: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,6 +118,19 @@ def fan_out(dimension: DataFrame, keys: list[str]) -> DataFrame:
     return dimension.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def volume_report(counts: dict[str, int]) -> dict:
+    """What a batch brought: tables with new records of all, a text of all counts, and a warning or None.
+
+    Fewer iterations than results point to messages that were cut short.
+    """
+    iterations, results = counts.get("vqe_iterations"), counts.get("vqe_results")
+    short = results and iterations is not None and iterations < results
+    return {
+        "tables": len(counts), "tables_with_new": sum(n > 0 for n in counts.values()), "summary": ", ".join(f"{t}={n}" for t, n in counts.items()),
+        "warning": f"vqe_iterations ({iterations}) < vqe_results ({results})" if short else None,
+    }
+
+
 class FanOut(RuntimeError):
     """A join returned more rows than its source."""
 

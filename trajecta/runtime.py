@@ -56,10 +56,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends there, and later
-    stages survive the loss of any executor."""
+    stages survive the loss of any executor.  The folder goes when the driver ends."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    FileSystem(spark, path).delete_on_exit(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -75,9 +76,13 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in at least as many partitions as there are cores, for work that is heavy per row.
 
-    Only an input of fewer splits than cores is shuffled; larger ones are left as they are read.
+    Only an input of fewer splits than cores is shuffled; larger ones are left as they are read.  A plan
+    with a shuffle of its own is left to adaptive execution: asking for its partitions would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(node in plan for node in ("Join", "Aggregate", "Window", "Sort", "Repartition", "Deduplicate", "Distinct", "FlatMapGroups", "CoGroup")):
+        return df
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
@@ -129,17 +134,35 @@ class FileSystem:
         finally:
             stream.close()
 
+    def delete_on_exit(self, path: str) -> None:
+        self._fs.deleteOnExit(self._path(path))
+
     def create_text(self, path: str, text: str) -> bool:
-        """Write a small file under a temporary name and rename it; False if the name is taken."""
-        temporary = f"{path}.{uuid.uuid4().hex}.tmp"
-        out = self._fs.create(self._path(temporary))
+        """Create a small file; False if it is there already.
+
+        The store's own create-without-overwrite decides between several writers.  A reader may see the
+        file before its text is complete.
+        """
+        try:
+            out = self._fs.create(self._path(path), False)
+        except Exception:  # noqa: BLE001  (each store has its own error for an existing file)
+            if self.exists(path):
+                return False
+            raise
         out.write(bytearray(text.encode()))
         out.close()
-        if self.exists(path) or not self.rename(temporary, path):
-            self.delete(temporary)
-            return False
         return True
 
+    def replace_text(self, path: str, text: str) -> None:
+        """Write a small file under a temporary name and rename it over ``path``."""
+        temporary = f"{path}.{uuid.uuid4().hex}.tmp"
+        out = self._fs.create(self._path(temporary), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not self.rename(temporary, path):
+            self.delete(path)
+            self.rename(temporary, path)
+
 
 def conf_scope(spark: SparkSession, **settings: str):
     """Context manager: session settings that hold for the block and are put back after it."""

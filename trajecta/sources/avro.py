@@ -1,6 +1,6 @@
 """Avro without a jar: schemas from Spark types, a binary codec, container files and registry-framed messages.
 
-Spark's ``avro`` format is used where its jar is present; otherwise container files are read through
+Spark's ``avro`` format reads containers where its jar is present; otherwise they are read through
 ``binaryFile`` (splitting by file) and decoded in Arrow batches.
 """
 
@@ -11,13 +11,15 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, date, datetime, timedelta
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import spread
+from ..runtime import FileSystem, spread
 
 MAGIC, FRAME = b"Obj\x01", b"\x00"
 _SIMPLE = {"boolean": "boolean", "int": "int", "bigint": "long", "double": "double", "float": "float", "string": "string", "binary": "bytes"}
@@ -31,11 +33,51 @@ def avro_schema(kind: T.DataType, name: str = "record", nullable: bool = False):
         ]}
     elif isinstance(kind, T.ArrayType):
         out = {"type": "array", "items": avro_schema(kind.elementType, f"{name}_item", kind.containsNull)}
+    elif isinstance(kind, T.MapType):
+        out = {"type": "map", "values": avro_schema(kind.valueType, f"{name}_value", kind.valueContainsNull)}
+    elif isinstance(kind, T.DecimalType):
+        out = {"type": "bytes", "logicalType": "decimal", "precision": kind.precision, "scale": kind.scale}
+    elif isinstance(kind, T.DateType):
+        out = {"type": "int", "logicalType": "date"}
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        out = {"type": "long", "logicalType": "timestamp-micros" if isinstance(kind, T.TimestampType) else "local-timestamp-micros"}
+    elif kind.simpleString() in ("smallint", "tinyint"):
+        out = "int"
     else:
         out = _SIMPLE[kind.simpleString()]
     return ["null", out] if nullable else out
 
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
+
+
+def _to_logical(schema: dict, value):
+    """A date, timestamp or decimal (also as text) as the number or bytes that Avro stores."""
+    kind = schema.get("logicalType")
+    if kind == "decimal":
+        n = int(Decimal(str(value)).scaleb(schema["scale"]).to_integral_value())
+        return n.to_bytes(max(1, (n.bit_length() + 8) // 8), "big", signed=True)
+    if kind == "date" and not isinstance(value, int):
+        return (date.fromisoformat(str(value)) - _EPOCH.date()).days
+    if kind in ("timestamp-micros", "timestamp-millis", "local-timestamp-micros") and not isinstance(value, int):
+        at = value if isinstance(value, datetime) else datetime.fromisoformat(str(value))
+        at = at if at.tzinfo else at.replace(tzinfo=UTC)
+        return (at - _EPOCH) // timedelta(microseconds=1 if kind.endswith("micros") else 1000)
+    return value
+
+
+def _from_logical(schema: dict, value):
+    kind = schema.get("logicalType")
+    if kind == "decimal":
+        return str(Decimal(int.from_bytes(value, "big", signed=True)).scaleb(-schema.get("scale", 0)))
+    if kind == "date":
+        return (_EPOCH.date() + timedelta(days=value)).isoformat()
+    if kind in ("timestamp-micros", "timestamp-millis", "local-timestamp-micros"):
+        at = _EPOCH + timedelta(microseconds=value * (1 if kind.endswith("micros") else 1000))
+        return (at if not kind.startswith("local") else at.replace(tzinfo=None)).isoformat()
+    return value
+
+
 def write_long(n: int, out: bytearray) -> None:
     z = (n << 1) ^ (n >> 63)
     z &= (1 << 64) - 1
@@ -53,6 +95,8 @@ def encode(schema, value, out: bytearray) -> None:
         encode(schema[at], value, out)
         return
     kind = schema["type"] if isinstance(schema, dict) else schema
+    if isinstance(schema, dict) and "logicalType" in schema:
+        value = _to_logical(schema, value)
     if kind == "null":
         return
     if kind == "boolean":
@@ -73,6 +117,17 @@ def encode(schema, value, out: bytearray) -> None:
             for x in value:
                 encode(schema["items"], x, out)
         write_long(0, out)
+    elif kind == "map":
+        if value:
+            write_long(len(value), out)
+            for k, v in value.items():
+                encode("string", k, out)
+                encode(schema["values"], v, out)
+        write_long(0, out)
+    elif kind == "enum":
+        write_long(schema["symbols"].index(value), out)
+    elif kind == "fixed":
+        out += bytes(value)
     elif kind == "record":
         get = value.get if isinstance(value, dict) else lambda n, d=None: getattr(value, n, d)
         for f in schema["fields"]:
@@ -103,6 +158,11 @@ class Reader:
             shift += 7
 
     def value(self, schema):
+        if isinstance(schema, dict) and "logicalType" in schema:
+            return _from_logical(schema, self._value(schema))
+        return self._value(schema)
+
+    def _value(self, schema):
         if isinstance(schema, list):
             return self.value(schema[self.long()])
         kind = schema["type"] if isinstance(schema, dict) else schema
@@ -128,6 +188,20 @@ class Reader:
                     self.long()
                 out += [self.value(schema["items"]) for _ in range(n)]
             return out
+        if kind == "map":
+            out = {}
+            while n := self.long():
+                if n < 0:
+                    n = -n
+                    self.long()
+                for _ in range(n):
+                    key = self.value("string")
+                    out[key] = self.value(schema["values"])
+            return out
+        if kind == "enum":
+            return schema["symbols"][self.long()]
+        if kind == "fixed":
+            return self.take(schema["size"])
         if kind == "record":
             return {f["name"]: self.value(f["type"]) for f in schema["fields"]}
         raise ValueError(f"unknown Avro type {kind}")
@@ -141,6 +215,10 @@ def resolve(value, reader):
         return value
     if reader["type"] == "array":
         return [resolve(x, reader["items"]) for x in value]
+    if reader["type"] == "map":
+        return {k: resolve(x, reader["values"]) for k, x in value.items()}
+    if reader["type"] != "record":
+        return value
     out = {}
     for f in reader["fields"]:
         if f["name"] in value:
@@ -219,18 +297,46 @@ def read_container(data: bytes) -> Iterator[dict]:
             raise ValueError("a block's sync marker is wrong")
 
 
-def read_avro(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Container files under ``path`` (recursive, ``*.avro``) with the reader's schema."""
-    reader = avro_schema(schema)
+def has_avro_source(spark: SparkSession) -> bool:
+    """Whether Spark's own Avro source is on the class path."""
+    jvm = spark.sparkContext._jvm
+    try:
+        jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource("avro", spark._jsparkSession.sessionState().conf())
+        return True
+    except Exception:  # noqa: BLE001  (an analysis error names the missing source)
+        return False
+
+
+def read_avro(spark: SparkSession, path: str, schema: T.StructType, folders: T.StructType | None = None) -> DataFrame:
+    """Container files under ``path`` (recursive, ``*.avro``) with the reader's schema, and the columns of ``folders`` if given.
+
+    Spark's Avro source reads them in splits where its jar is present.  Otherwise a file is the unit of work:
+    it is read in one task, block by block.
+    """
+    reader, names = avro_schema(schema), [f.name for f in folders.fields] if folders else []
+    if has_avro_source(spark):
+        source = spark.read.format("avro").option("pathGlobFilter", "*.avro").option("avroSchema", json.dumps(reader))
+        return (source.option("basePath", path) if folders else source.option("recursiveFileLookup", True)).load(path)
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for content in pdf["content"]:
-                rows = [json.dumps(resolve(v, reader)) for v in read_container(bytes(content))]
-                yield pd.DataFrame({"j": rows}, dtype=object)
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.avro").load(path).select("content")
-    return files.mapInPandas(decode, "j string").select(F.from_json("j", schema).alias("r")).select("r.*")
+            for row in pdf.itertuples(index=False):
+                some: list[str] = []
+                for v in read_container(bytes(row.content)):
+                    some.append(json.dumps(resolve(v, reader), default=str))
+                    if len(some) == 5000:
+                        yield pd.DataFrame({"j": some, **{n: getattr(row, n) for n in names}})
+                        some = []
+                yield pd.DataFrame({"j": pd.Series(some, dtype=object), **{n: getattr(row, n) for n in names}})
+
+    source = spark.read.format("binaryFile").option("pathGlobFilter", "*.avro")
+    if folders:
+        fields = "path string, modificationTime timestamp, length bigint, content binary, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in folders.fields)
+        files = source.schema(fields).option("basePath", path).load(path).select("content", *names)
+    else:
+        files = source.option("recursiveFileLookup", True).load(path).select("content")
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in folders.fields) if folders else ""
+    return files.mapInPandas(decode, "j string" + kinds).select(F.from_json("j", schema).alias("r"), *names).select("r.*", *names)
 
 
 def encode_frames(df: DataFrame, schema_id: int | None, name: str = "record") -> DataFrame:
@@ -266,51 +372,65 @@ def decode_frames(df: DataFrame, schemas: dict[int, object], target: T.StructTyp
 
 
 class SchemaStore:
-    """Schemas by subject ``<name>-value`` in a folder, one file per version, cached; stands in for a registry service."""
+    """Schemas by subject ``<name>-value``, cached; stands in for a registry service.
+
+    An id is a file ``ids/<id>`` that is created without overwriting, so of two writers each gets an id of its
+    own.  With a session the folder may be on any file system that the cluster shares; else it is a local one.
+    """
 
-    def __init__(self, folder: str) -> None:
-        self.folder, self.cache = folder, {}
-        os.makedirs(folder, exist_ok=True)
+    def __init__(self, folder: str, spark: SparkSession | None = None) -> None:
+        self.folder, self.cache = folder.rstrip("/"), {}
+        self.fs = FileSystem(spark, self.folder) if spark else _LocalFiles()
+        self.fs.mkdirs(f"{self.folder}/ids")
 
-    def _versions(self, name: str) -> list[tuple[int, str]]:
-        start = f"{name}-value."
-        return sorted((int(f[len(start) :].split(".")[0]), f) for f in os.listdir(self.folder) if f.startswith(start) and f.endswith(".avsc"))
+    def _all(self) -> dict[int, dict]:
+        return {int(n): json.loads(self.fs.read_text(f"{self.folder}/ids/{n}")) for n in self.fs.names(f"{self.folder}/ids") if n.isdigit()}
 
     def register(self, name: str, schema) -> int:
-        """The id of the schema; an equal schema keeps its id."""
+        """The id of the schema; an equal schema of the subject keeps its id."""
         if not isinstance(schema, (dict, list, str)) or isinstance(schema, dict) and "type" not in schema:
             raise ValueError("not an Avro schema")
-        for number, file in self._versions(name):
-            with open(os.path.join(self.folder, file)) as f:
-                known = json.load(f)
-            if known["schema"] == schema:
-                return known["id"]
-        number = 1 + max((n for n, _ in self._versions(name)), default=0)
-        new_id = 1 + sum(1 for f in os.listdir(self.folder) if f.endswith(".avsc"))
-        path = os.path.join(self.folder, f"{name}-value.{number}.avsc")
-        with open(path + ".tmp", "w") as f:
-            json.dump({"id": new_id, "schema": schema}, f)
-        os.rename(path + ".tmp", path)
-        self.cache[name] = (new_id, schema)
-        return new_id
+        known = self._all()
+        for number, entry in sorted(known.items()):
+            if entry["subject"] == f"{name}-value" and entry["schema"] == schema:
+                return number
+        number = max(known, default=0) + 1
+        while not self.fs.create_text(f"{self.folder}/ids/{number}", json.dumps({"subject": f"{name}-value", "schema": schema})):
+            number += 1
+        self.cache[name] = (number, schema)
+        return number
 
     def latest(self, name: str) -> tuple[int, object]:
         if name not in self.cache:
-            versions = self._versions(name)
-            if not versions:
+            own = [(n, e["schema"]) for n, e in self._all().items() if e["subject"] == f"{name}-value"]
+            if not own:
                 raise KeyError(name)
-            with open(os.path.join(self.folder, versions[-1][1])) as f:
-                known = json.load(f)
-            self.cache[name] = (known["id"], known["schema"])
+            self.cache[name] = max(own, key=lambda x: x[0])
         return self.cache[name]
 
+    def known(self, name: str) -> bool:
+        return any(e["subject"] == f"{name}-value" for e in self._all().values())
+
     def by_id(self) -> dict[int, object]:
-        out = {}
-        for file in os.listdir(self.folder):
-            if file.endswith(".avsc"):
-                with open(os.path.join(self.folder, file)) as f:
-                    known = json.load(f)
-                out[known["id"]] = known["schema"]
-        return out
+        return {n: e["schema"] for n, e in self._all().items()}
+
+
+class _LocalFiles:
+    """The same few calls on the local file system."""
+
+    mkdirs = staticmethod(lambda path: os.makedirs(path, exist_ok=True))
+    names = staticmethod(lambda path: sorted(os.listdir(path)))
 
+    @staticmethod
+    def read_text(path: str) -> str:
+        with open(path) as f:
+            return f.read()
 
+    @staticmethod
+    def create_text(path: str, text: str) -> bool:
+        try:
+            with open(path, "x") as f:
+                f.write(text)
+        except FileExistsError:
+            return False
+        return True

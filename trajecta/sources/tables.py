@@ -1,8 +1,8 @@
 """Versioned append-only tables on Parquet: snapshots, tags, time travel, audit, compaction.
 
-Data of snapshot N lies in ``data/_commit=N-<token>``; the snapshot holds once ``log/N`` exists, which appears
-by one rename.  Readers read the folders of the snapshots they want, so time travel prunes files.  A
-folder without log entry is a failed write and is never read.
+Data of a snapshot lies in ``data/_commit=<token>``; the snapshot holds once ``log/N`` is written, which is created
+without overwriting, so of two writers one wins.  A read is one scan of the folders of the snapshots wanted, whatever
+their number, so time travel prunes files.  A folder without log entry is a failed write and is never read.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.compaction import pack_splits
 from ..operators.ingest import new_records
@@ -27,9 +28,14 @@ class VersionedTable:
         return bool(self.snapshots())
 
     def snapshots(self) -> list[dict]:
-        """All snapshots, oldest first."""
-        names = [n for n in self.fs.names(f"{self.path}/log") if n.isdigit()]
-        return [json.loads(self.fs.read_text(f"{self.path}/log/{n}")) for n in names]
+        """All snapshots, oldest first.  An entry that isn't complete yet doesn't count."""
+        out = []
+        for n in (n for n in self.fs.names(f"{self.path}/log") if n.isdigit()):
+            try:
+                out.append(json.loads(self.fs.read_text(f"{self.path}/log/{n}")))
+            except ValueError:
+                continue
+        return out
 
     def latest(self) -> int | None:
         found = self.snapshots()
@@ -51,18 +57,12 @@ class VersionedTable:
         upto = self.tags()[tag] if tag else snapshot if snapshot is not None else found[-1]["snapshot_id"]
         held = [s for s in found if s["snapshot_id"] <= upto]
         start = max((i for i, s in enumerate(held) if s["operation"] == "compact"), default=0)
-        schema = json.loads(held[-1]["schema"])
-        from pyspark.sql.types import StructType
-
-        kind = StructType.fromJson(schema)
-        parts = [self.spark.read.schema(kind).option("basePath", f"{self.path}/data/{s['folder']}").parquet(f"{self.path}/data/{s['folder']}") for s in held[start:]]
-        out = parts[0]
-        for more in parts[1:]:
-            out = out.unionByName(more)
-        return out
+        kind = StructType.fromJson(json.loads(held[-1]["schema"]))
+        folders = [f"{self.path}/data/{s['folder']}" for s in held[start:]]
+        return self.spark.read.schema(StructType([*kind.fields, StructField("_commit", StringType())])).option("basePath", f"{self.path}/data").parquet(*folders).drop("_commit")
 
     def _commit(self, folder: str, operation: str, rows: int, schema: str) -> int:
-        number = (self.latest() or 0) + 1
+        number = max((int(n) for n in self.fs.names(f"{self.path}/log") if n.isdigit()), default=0) + 1
         self.fs.mkdirs(f"{self.path}/log")
         entry = {"snapshot_id": number, "committed_at": datetime.now(UTC).isoformat(), "operation": operation, "rows": rows, "folder": folder, "schema": schema, "comment": self.comment}
         if not self.fs.create_text(f"{self.path}/log/{number:010d}", json.dumps(entry)):
@@ -76,7 +76,7 @@ class VersionedTable:
         """
         if self.keys:
             df = new_records(df.dropDuplicates(self.keys), self.read() if self.exists() else None, self.keys)
-        folder, writer = f"_commit-{uuid.uuid4().hex}", df.write.mode("errorifexists")
+        folder, writer = f"_commit={uuid.uuid4().hex}", df.write.mode("errorifexists")
         (writer.partitionBy(*self.partitions) if self.partitions else writer).parquet(f"{self.path}/data/{folder}")
         # counted from the footers of what was written; an Observation would leave a manager in the session that
         # later MLlib tasks can't serialise
@@ -92,12 +92,42 @@ class VersionedTable:
 
     def compact(self, target_bytes: int = 128 << 20) -> dict:
         """Rewrite all rows as few files; older snapshots and tags stay readable."""
-        folder, now = f"_commit-{uuid.uuid4().hex}", self.read()
-        done = pack_splits(self.spark, self.read, f"{self.path}/data/{folder}", target_bytes, "parquet", sum(n for _, n in self.fs.sizes(f"{self.path}/data")) or 1)
+        folder, now = f"_commit={uuid.uuid4().hex}", self.read()
+        found = self.snapshots()
+        start = max((i for i, s in enumerate(found) if s["operation"] == "compact"), default=0)
+        held = sum(n for s in found[start:] for _, n in self.fs.sizes(f"{self.path}/data/{s['folder']}"))  # what is read, not what older snapshots hold
+        done = pack_splits(self.spark, self.read, f"{self.path}/data/{folder}", target_bytes, "parquet", held or 1, partition_by=self.partitions)
         self._commit(folder, "compact", done["rows"], now.schema.json())
         return done
 
 
+def create_audit_table(spark: SparkSession, name: str) -> None:
+    """The audit table in the session's catalog, if it isn't there."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({AUDIT}) USING parquet")
+
+
+def catalog_tables(spark: SparkSession, names: list[str]) -> dict[str, DataFrame]:
+    """The named tables of the catalog that exist."""
+    return {n: spark.table(n) for n in names if spark.catalog.tableExists(n)}
+
+
+def export(df: DataFrame, target: str, partitions: list[str] | None = None) -> dict:
+    """Mirror a finished table to another store as Parquet, staged, counted and renamed; fails where the store can't be written."""
+    fs, staging = FileSystem(df.sparkSession, target), f"{target.rstrip('/')}.staging"
+    fs.mkdirs(target.rsplit("/", 1)[0])
+    fs.delete(staging)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(staging)
+    rows, want = df.sparkSession.read.parquet(staging).count(), df.count()
+    if rows != want:
+        fs.delete(staging)
+        raise RuntimeError(f"{rows} rows arrived of {want}")
+    fs.delete(target)
+    if not fs.rename(staging, target):
+        raise RuntimeError(f"can't publish {target}")
+    return {"path": target, "rows": rows, "bytes": sum(n for _, n in fs.sizes(target))}
+
+
 AUDIT = "processing_batch_id string, processing_name string, processing_timestamp timestamp, processing_date date, table_names array<string>, table_versions array<string>, record_counts array<bigint>, source_data_info string"
 
 
