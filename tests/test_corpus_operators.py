@@ -296,9 +296,23 @@ def test_batches_share_what_was_seen(spark):
     assert empty.count() == 0 and state.versions() == [1, 2]
 
 
+def test_a_batch_reads_and_writes_only_its_shards(spark):
+    state = once.SeenState(spark, once.scratch_path(spark, "t"), shards=16)
+    batch = lambda *ids: spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "identifier string, row_id bigint")
+    assert once.keep_once(state, batch(*map(str, range(200))), "identifier", "row_id").count() == 200
+    assert [r.identifier for r in once.keep_once(state, batch("7", "new"), "identifier", "row_id").collect()] == ["new"]
+    shards = {r.shard for r in batch("7", "new").select(F.pmod(F.xxhash64("identifier"), F.lit(16)).cast("int").alias("shard")).collect()}
+    written = {int(n.removeprefix("shard=")) for n in state.fs.subdirs(f"{state.path}/bitmaps/_v={state.commits()[-1]['folder']}")}
+    assert written <= shards and state.bitmaps(sorted(shards)).count() < state.bitmaps().count()
+    plan = state.dictionary(sorted(shards))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [shard" in plan.replace("isnotnull(shard", "[shard") or "PartitionFilters: [" in plan and "shard" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert once.keep_once(state, batch(*map(str, range(200)), "new"), "identifier", "row_id").count() == 0
+    assert once.shards_for(0) == 1 and once.shards_for(5_000_000) == 3 and once.SeenState(spark, state.path).shards == 16
+
+
 def test_a_lost_version_is_invisible(spark):
     state = once.SeenState(spark, once.scratch_path(spark, "t"))
-    spark.createDataFrame([("z", 1, 1)], once.DICTIONARY).write.parquet(f"{state.path}/v0000000001-dead/dictionary")
+    spark.createDataFrame([("z", 1, 0)], once.DICTIONARY).drop("shard").write.parquet(f"{state.path}/dictionary/_v=0000000001-dead/shard=0")
     assert once.keep_once(state, spark.createDataFrame([("z", 7)], "identifier string, row_id bigint"), "identifier", "row_id").count() == 1
 
 

@@ -14,48 +14,71 @@ Everything runs in the JVM; nothing is collected.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import FileSystem, cut, scratch_path, spread
+from .bitmaps import bit_is_set
 
 #: Codes of a shard live in a range of their own, so shards grow without touching one another.
 SHARD_SPAN_BITS = 40
-DICTIONARY = "identifier string, shard int, code bigint"
-BITMAPS = "bucket bigint, bits binary"
+#: Identifiers of a shard and of a slice of new identifiers, which one task puts in order, about.
+SHARD_ROWS, SLICE_ROWS = 2_000_000, 250_000
+DICTIONARY = "identifier string, code bigint, shard int"
+BITMAPS = "bucket bigint, bits binary, shard int"
 
 
 class SeenState:
-    """Dictionary and bitmaps of what was kept so far, as numbered versions under ``path``.
+    """Dictionary and bitmaps of what was kept so far, by shard and version, under ``path``.
 
-    A version is a folder ``v<N>`` with ``dictionary`` (only the entries it added) and ``bitmaps``
-    (all of them, zstd-compressed Parquet: the runs of zero bytes all but vanish).  A version holds
-    once ``commits/<N>`` exists; that file appears by one rename, and of two writers that try for
-    the same number one gets False and must start again.  Folders without commit are ignored.
+    Version N writes ``dictionary/_v=<N>/shard=<S>`` (the entries it added) and ``bitmaps/_v=<N>/shard=<S>`` (the
+    whole bitmap of each shard it touched, zstd-compressed Parquet: the runs of zero bytes all but vanish).  It holds
+    once ``commits/<N>`` is there, which says where each shard's bitmap lies; that file is created without
+    overwriting, so of two writers that try for the same number one fails and must start again.  Folders without
+    commit are ignored.  A batch reads and writes the shards it touches only.
     """
 
-    def __init__(self, spark: SparkSession, path: str, shards: int = 64) -> None:
+    def __init__(self, spark: SparkSession, path: str, shards: int | None = None) -> None:
         self.spark, self.path = spark, path.rstrip("/")
         self.fs = FileSystem(spark, self.path)
         self.fs.mkdirs(f"{self.path}/commits")
-        versions = self.versions()
-        self.shards = shards if not versions else json.loads(self.fs.read_text(f"{self.path}/commits/{versions[-1]:010d}"))["shards"]
+        commits = self.commits()
+        self.shards = commits[-1]["shards"] if commits else shards
+
+    def commits(self) -> list[dict]:
+        """What was published, oldest first; an entry that isn't complete yet doesn't count."""
+        out = []
+        for n in sorted(n for n in self.fs.names(f"{self.path}/commits") if n.isdigit()):
+            try:
+                out.append(json.loads(self.fs.read_text(f"{self.path}/commits/{n}")))
+            except ValueError:
+                continue
+        return out
 
     def versions(self) -> list[int]:
-        return sorted(int(n) for n in self.fs.names(f"{self.path}/commits") if n.isdigit())
+        return [c["number"] for c in self.commits()]
 
-    def dictionary(self) -> DataFrame:
-        paths = [self._folder(n) + "/dictionary" for n in self.versions()]
-        return self.spark.read.schema(DICTIONARY).parquet(*paths) if paths else self.spark.createDataFrame([], DICTIONARY)
+    def next_number(self) -> int:
+        return max((int(n) for n in self.fs.names(f"{self.path}/commits") if n.isdigit()), default=0) + 1
 
-    def bitmaps(self) -> DataFrame:
-        versions = self.versions()
-        return self.spark.read.schema(BITMAPS).parquet(self._folder(versions[-1]) + "/bitmaps") if versions else self.spark.createDataFrame([], BITMAPS)
+    def dictionary(self, shards: list[int] | None = None) -> DataFrame:
+        """(identifier, shard, code); only of ``shards`` if given: others aren't opened."""
+        paths = [f"{self.path}/dictionary/_v={c['folder']}" for c in self.commits()]
+        if not paths:
+            return self.spark.createDataFrame([], DICTIONARY)
+        rows = self.spark.read.schema(f"{DICTIONARY}, _v string").option("basePath", f"{self.path}/dictionary").parquet(*paths).drop("_v")
+        return rows if shards is None else rows.where(F.col("shard").isin(*shards))
 
-    def _folder(self, n: int) -> str:
-        token = json.loads(self.fs.read_text(f"{self.path}/commits/{n:010d}"))["token"]
-        return f"{self.path}/v{n:010d}-{token}"
+    def bitmaps(self, shards: list[int] | None = None) -> DataFrame:
+        """(shard, bucket, bits): the newest bitmap of every shard, or of ``shards``."""
+        commits = self.commits()
+        held = {} if not commits else {int(s): f for s, f in commits[-1]["bitmaps"].items() if shards is None or int(s) in set(shards)}
+        paths = [f"{self.path}/bitmaps/_v={f}/shard={s}" for s, f in sorted(held.items())]
+        if not paths:
+            return self.spark.createDataFrame([], BITMAPS)
+        return self.spark.read.schema(f"{BITMAPS}, _v string").option("basePath", f"{self.path}/bitmaps").parquet(*paths).drop("_v")
 
 
 def first_arrivals(arrivals: DataFrame, identifier: str, row_id: str) -> DataFrame:
@@ -74,54 +97,67 @@ def keep_once(state: SeenState, arrivals: DataFrame, identifier: str, row_id: st
     row id of the batch wins; a batch taken in earlier wins over a later one.  An empty batch keeps
     nothing and publishes no version.  Other columns are ignored, whatever their names.
     """
-    spark, number = state.spark, (state.versions() or [0])[-1] + 1
-    token = scratch_path(spark, "t").rsplit("-", 1)[-1][:12]
-    folder = f"{state.path}/v{number:010d}-{token}"
-    first = first_arrivals(arrivals, identifier, row_id)
-    known, old = state.dictionary(), state.bitmaps()
+    spark, number = state.spark, state.next_number()
+    folder = f"{number:010d}-{uuid.uuid4().hex[:12]}"
+    first, commits = first_arrivals(arrivals, identifier, row_id), state.commits()
+    if state.shards is None:
+        first = cut(first, "first-arrivals")
+        state.shards = shards_for(first.count())
     shard = F.pmod(F.xxhash64("identifier"), F.lit(state.shards)).cast("int")
-    if number > 1:
+    first = first.withColumn("shard", shard)
+    if commits:
+        first = cut(first, "first-arrivals")
+        touched = [r["shard"] for r in first.select("shard").distinct().collect()]  # at most one row a shard
+        known, old = state.dictionary(touched), state.bitmaps(touched)
         used = known.groupBy("shard").agg(F.max("code").alias("top"))
         first = first.join(known.select("identifier", "code"), "identifier", "left")
     else:
-        used = spark.createDataFrame([], "shard int, top bigint")
+        old, used = state.bitmaps(), spark.createDataFrame([], "shard int, top bigint")
         first = first.withColumn("code", F.lit(None).cast("bigint"))
     # exact codes: new identifiers are numbered inside a slice of their shard, slices are laid end to end
-    new = first.where("code is null").withColumn("shard", shard).withColumn("slice", F.pmod(F.shiftright(F.xxhash64("identifier"), 32), F.lit(64)).cast("int"))
+    slices = max(1, SHARD_ROWS // SLICE_ROWS)
+    new = first.where("code is null").withColumn("slice", F.pmod(F.shiftright(F.xxhash64("identifier"), 32), F.lit(slices)).cast("int"))
     sizes = new.groupBy("shard", "slice").agg(F.count(F.lit(1)).alias("n"))
     begin = F.sum("n").over(Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
     base = sizes.join(F.broadcast(used), "shard", "left").select(
         "shard", "slice", (F.coalesce(F.col("top"), F.shiftleft(F.col("shard").cast("bigint"), SHARD_SPAN_BITS) - 1) + F.coalesce(begin, F.lit(0))).alias("base")
-    )  # at most shards x 64 rows, shards is a parameter
+    )  # at most shards x slices rows, shards is a parameter
     coded = new.withColumn("place", F.row_number().over(Window.partitionBy("shard", "slice").orderBy("identifier"))).join(F.broadcast(base), ["shard", "slice"])
-    fresh = coded.select("identifier", "shard", (F.col("base") + F.col("place")).alias("code"), "row_id")
-    fresh.write.option("compression", "zstd").parquet(f"{folder}/arrivals")
-    fresh = spark.read.schema("identifier string, shard int, code bigint, row_id bigint").parquet(f"{folder}/arrivals")
-    fresh.select("identifier", "shard", "code").write.option("compression", "zstd").parquet(f"{folder}/dictionary")
-    candidates = fresh.select("identifier", "code", "row_id")
-    if number > 1:  # known identifiers whose bit was never set (a version lost between both writes) may still be kept
-        candidates = candidates.unionByName(first.where("code is not null").select("identifier", "code", "row_id"))
-    bucket, bit = F.bitmap_bucket_number("code"), F.bitmap_bit_position("code")
-    marked = candidates.withColumn("bucket", bucket).withColumn("bit", bit)
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    seen = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0, F.lit(False))
-    unseen = marked.join(old, "bucket", "left").where(~seen).select("identifier", "code", "row_id", "bucket", "bit")
-    unseen.write.option("compression", "zstd").parquet(f"{folder}/kept")
-    kept = spark.read.schema("identifier string, code bigint, row_id bigint, bucket bigint, bit bigint").parquet(f"{folder}/kept")
-    added = kept.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    old.unionByName(added).groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits")).write.option("compression", "zstd").parquet(f"{folder}/bitmaps")
-    if not kept.isEmpty() and not state.fs.create_text(f"{state.path}/commits/{number:010d}", json.dumps({"token": token, "shards": state.shards})):
-        raise RuntimeError("another writer published this version first; take the batch in again")
+    fresh = cut(coded.select("identifier", "shard", (F.col("base") + F.col("place")).alias("code"), "row_id"), "coded-arrivals")
+    entries = f"{state.path}/dictionary/_v={folder}"
+    fresh.select("identifier", "code", "shard").write.option("compression", "zstd").partitionBy("shard").parquet(entries)
+    candidates = fresh.select("identifier", "shard", "code", "row_id")
+    if commits:  # known identifiers whose bit was never set (a version lost between both writes) may still be kept
+        candidates = candidates.unionByName(first.where("code is not null").select("identifier", "shard", "code", "row_id"))
+    marked = candidates.withColumn("bucket", F.bitmap_bucket_number("code")).withColumn("bit", F.bitmap_bit_position("code"))
+    seen = bit_is_set("bits", F.col("bit"))
+    unseen = marked.join(old.select("bucket", "bits"), "bucket", "left").where(~seen).select("identifier", "row_id", "shard", "bucket", "bit") if commits else marked.select("identifier", "row_id", "shard", "bucket", "bit")
+    kept = cut(unseen, "kept")
+    added = kept.groupBy("shard", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).select("bucket", "bits", "shard")
+    both = old.unionByName(added).groupBy("shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits")) if commits else added
+    both.select("bucket", "bits", "shard").write.option("compression", "zstd").partitionBy("shard").parquet(f"{state.path}/bitmaps/_v={folder}")
+    if not kept.isEmpty():
+        written = {n.removeprefix("shard="): folder for n in state.fs.subdirs(f"{state.path}/bitmaps/_v={folder}") if n.startswith("shard=")}
+        entry = {"number": number, "folder": folder, "shards": state.shards, "bitmaps": {**(commits[-1]["bitmaps"] if commits else {}), **written}}
+        if not state.fs.create_text(f"{state.path}/commits/{number:010d}", json.dumps(entry)):
+            raise RuntimeError("another writer published this version first; take the batch in again")
     return kept.select("identifier", "row_id")
 
 
-def surplus(arrivals: DataFrame, identifier: str, row_id: str, shards: int = 64, state: SeenState | None = None) -> DataFrame:
+def scratch_state(spark: SparkSession, shards: int | None = None) -> SeenState:
+    """An empty state in the shared folder, deleted when the driver ends."""
+    state = SeenState(spark, scratch_path(spark, "seen"), shards)
+    state.fs.delete_on_exit(state.path)
+    return state
+
+
+def surplus(arrivals: DataFrame, identifier: str, row_id: str, shards: int | None = None, state: SeenState | None = None) -> DataFrame:
     """Row ids of every arrival that isn't the copy kept.  Rows without identifier aren't copies of anything.
 
     The whole table is one batch against ``state``, an empty one in the shared folder if none is given.
     """
     spark = arrivals.sparkSession
-    state = state or SeenState(spark, scratch_path(spark, "seen"), shards)
+    state = state or scratch_state(spark, shards)
     kept = keep_once(state, arrivals, identifier, row_id)
     return arrivals.where(F.col(identifier).isNotNull() & F.col(row_id).isNotNull()).select(F.col(row_id).alias("row_id")).join(kept.select("row_id"), "row_id", "left_anti")
 
@@ -178,6 +214,6 @@ def step_identifiers(features: DataFrame) -> DataFrame:
     )
 
 
-def shards_for(rows: int, per_shard: int = 2_000_000) -> int:
+def shards_for(rows: int, per_shard: int = SHARD_ROWS) -> int:
     """Shards so that one holds about ``per_shard`` identifiers."""
-    return max(16, min(65_536, -(-rows // per_shard)))
+    return max(1, min(65_536, -(-rows // per_shard)))

@@ -69,14 +69,14 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
 
 def p4_kept_steps(spark: SparkSession, base: str) -> DataFrame:
     features = read_table(spark, base, "ml_iteration_features")
-    state = once.SeenState(spark, once.scratch_path(spark, "seen"))
+    state = once.scratch_state(spark)
     kept = once.keep_once(state, once.step_identifiers(features), "identifier", "row_id")
     return features.join(kept.select(F.col("row_id").alias("load_id")), "load_id", "left_semi").select("load_id", "experiment_id", "iteration_step", "energy")
 
 
 def p4_kept_runs(spark: SparkSession, base: str) -> DataFrame:
     messages = read_table(spark, base, "run_messages")
-    state = once.SeenState(spark, once.scratch_path(spark, "seen"))
+    state = once.scratch_state(spark)
     kept = once.keep_once(state, once.message_identifiers(messages), "identifier", "row_id")
     return messages.join(kept.select(F.col("row_id").alias("record_id")), "record_id", "left_semi").select("record_id", "file_id", "line_no", "payload")
 
