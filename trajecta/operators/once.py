@@ -101,8 +101,7 @@ def keep_once(state: SeenState, arrivals: DataFrame, identifier: str, row_id: st
     folder = f"{number:010d}-{uuid.uuid4().hex[:12]}"
     first, commits = first_arrivals(arrivals, identifier, row_id), state.commits()
     if state.shards is None:
-        first = cut(first, "first-arrivals")
-        state.shards = shards_for(first.count())
+        state.shards = shards_for(arrivals.count())  # at least as many as there are identifiers
     shard = F.pmod(F.xxhash64("identifier"), F.lit(state.shards)).cast("int")
     first = first.withColumn("shard", shard)
     if commits:
@@ -132,7 +131,7 @@ def keep_once(state: SeenState, arrivals: DataFrame, identifier: str, row_id: st
     marked = candidates.withColumn("bucket", F.bitmap_bucket_number("code")).withColumn("bit", F.bitmap_bit_position("code"))
     seen = bit_is_set("bits", F.col("bit"))
     unseen = marked.join(old.select("bucket", "bits"), "bucket", "left").where(~seen).select("identifier", "row_id", "shard", "bucket", "bit") if commits else marked.select("identifier", "row_id", "shard", "bucket", "bit")
-    kept = cut(unseen, "kept")
+    kept = cut(unseen, "kept") if commits else unseen  # a first batch keeps all that was written above
     added = kept.groupBy("shard", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).select("bucket", "bits", "shard")
     both = old.unionByName(added).groupBy("shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits")) if commits else added
     both.select("bucket", "bits", "shard").write.option("compression", "zstd").partitionBy("shard").parquet(f"{state.path}/bitmaps/_v={folder}")
