@@ -255,12 +255,15 @@ def test_failed_batches_go_to_dead_letters(spark, tmp_path):
         streams.kafka_options("h", "t", "g", "PLAIN")
 
 
-def test_models_leave_one_group_out(spark):
+def test_models_leave_one_group_out(spark, tmp_path):
     rows = readers.synthetic_trajectories(spark, 60, 15, 25)
     df = trajectory.horizon_features(rows, 10).join(rows.select("run_id", "molecule_name", "final_energy", F.col("init_strategy")).distinct(), "run_id").withColumn("label", (F.col("init_strategy") == "hf").cast("int"))
     numeric = ["energy_slope_k10", "energy_std_last5_k10"]
     fitted = models.fit_classifiers(df, numeric, [], "molecule_name", "run_id", estimators={"forest": models.forest(trees=5)})
     assert len({f["held_out"] for f in fitted.folds}) == 6 and all(0 <= f["brier"] <= 1 for f in fitted.folds)
+    assert fitted.best("brier", higher=False) == "forest" and fitted.text(["brier"]).startswith("forest: 6 folds, brier ")
+    models.save_models(fitted, str(tmp_path / "models"))
+    assert models.load_models(spark, str(tmp_path / "models"))["forest"].transform(df.na.fill(0.0)).count() == 60
     assert models.predict(fitted.models["forest"], df.na.fill(0.0), "run_id").count() == 60
     with pytest.raises(ValueError):
         models.fit_classifiers(df.limit(5), numeric, [], "molecule_name", "run_id")
@@ -268,7 +271,7 @@ def test_models_leave_one_group_out(spark):
 
 def test_registered_fits_are_those_of_the_operators(spark, monkeypatch):
     asked = []
-    monkeypatch.setattr(models, "fit_classifiers", lambda df, numeric, categorical, *a, estimators, suffix: asked.append((len(numeric), categorical, suffix, estimators)) or models.Fitted([{"model": "m", "held_out": "g", "n_rows": 1.0, "roc_auc": 0.5, "brier": 0.1, "mcc": 0.0}]))
+    monkeypatch.setattr(models, "fit_classifiers", lambda df, numeric, categorical, *a, estimators, suffix, interact: asked.append((len(numeric), categorical, suffix, estimators)) or models.Fitted([{"model": "m", "held_out": "g", "n_rows": 1.0, "roc_auc": 0.5, "brier": 0.1, "mcc": 0.0}]))
     for name in ("forest_fit", "gbt_fit"):
         engine.queries()[name](spark, "/root/testdata/sf0.001")
     assert [s for *_, s, _ in asked] == ["_k10", "_k20", "_k50"] * 2 and all(n >= 14 and c == ["optimizer", "basis_set"] for n, c, *_ in asked)
@@ -282,3 +285,102 @@ def test_ridge_penalty_follows_the_training_rows(spark):
     models.fit_regressors(df, ["x"], [], "g", "y", {"ridge": lambda n, std: seen.append((n, round(std, 6))) or models.ridge(n, std, label="y")})
     ys = [3.0 * i + i % 3 for i in range(40)]
     assert sorted(seen) == sorted((len(v), round(statistics.pstdev(v), 6)) for v in (ys[:30], ys[30:], ys))
+
+
+def test_preprocessing_scales_by_the_population_and_multiplies_pairs(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 5.0), (8.0, 5.0)], "a double, b double")
+    from pyspark.ml import Pipeline
+
+    rows = [r.features.toArray() for r in Pipeline(stages=models.preprocessor(["a", "b"], [], 3, ["a", "b", "absent"])).fit(df).transform(df).collect()]
+    za = [(x - 4) / statistics.pstdev([1, 3, 8]) for x in (1, 3, 8)]
+    zb = [(x - 4) / statistics.pstdev([2, 5, 5]) for x in (2, 5, 5)]
+    assert [[round(v, 9) for v in r] for r in rows] == [[round(v, 9) for v in (a, b, a * b)] for a, b in zip(za, zb, strict=True)]
+    weights = models.positives_weighted(spark.createDataFrame([(1,), (0,), (0,), (0,)], "label int")).collect()
+    assert sorted(r.weight for r in weights) == [1.0, 1.0, 1.0, 3.0]
+
+
+@pytest.mark.parametrize("values", [[3.0, 1.0, 2.0], [4.0, 1.0, 2.0, 8.0], [5.0] * 7, [None, float("nan"), -1e300, 1e300, 0.0], [None, None], [], [1e-300, 2e-300, -0.0, 7.0, 7.0, 7.0]])
+def test_medians_by_counting_are_exact(spark, values):
+    df = spark.createDataFrame([(v, 1.0) for v in values], "x double, y double")
+    known = [v for v in values if v is not None and v == v]
+    want = {"x": statistics.median(known) if known else None, "y": 1.0 if values else None}
+    assert metrics.exact_medians(df, ["x", "y"], one_task=0) == want == metrics.exact_medians(df, ["x", "y"])
+
+
+def test_no_single_task_in_classification_metrics(spark):
+    df = spark.range(1000).selectExpr("cast(id % 3 = 0 as int) as label", "(id * 37 % 1000) / 1000.0D as score")
+    plan = metrics.classification_metrics(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__b" in plan and metrics.classification_metrics(df).first().n_rows == 1000
+
+
+def test_reads_are_one_scan_whatever_the_number_of_commits(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), ["k"], ["p"])
+    for i in range(4):
+        table.append(spark.createDataFrame([(i, "a")], "k int, p string"))
+    plan = table.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and table.read().count() == 4
+
+
+def test_a_second_build_reads_only_new_runs(spark, tmp_path):
+    warehouse, now = str(tmp_path / "wh"), datetime(2025, 1, 2)
+    write_json(tmp_path / "a", [raw_record(), raw_record(seed=7)])
+    pipelines.ingest_records(spark, spark.read.schema(readers.raw_schema(spark)).json(str(tmp_path / "a")), warehouse, now)
+    assert pipelines.build_features(spark, warehouse, now)["ml_run_summary"][1] == 2
+    write_json(tmp_path / "b", [raw_record(), raw_record(seed=9), raw_record(seed=11, initial={"optimizer": None})])
+    pipelines.ingest_records(spark, spark.read.schema(readers.raw_schema(spark)).json(str(tmp_path / "b")), warehouse, now)
+    ids = pipelines.new_experiments(spark, warehouse)
+    assert ids.count() == 2 and pipelines.feature_frame(spark, warehouse, ids).select("run_id").distinct().count() == 2
+    built = pipelines.build_features(spark, warehouse, now)
+    assert (built["ml_run_summary"][1], built["quarantine"][1]) == (1, 2)
+    assert VersionedTable(spark, f"{warehouse}/ml_iteration_features").read().columns == pipelines.ITERATION_COLUMNS
+    assert set(pipelines.build_features(spark, warehouse, now).values()) == {(None, 0)}
+
+
+def test_volume_report_warns_of_cut_messages():
+    assert ingest.volume_report({"vqe_results": 3, "vqe_iterations": 2})["warning"] and ingest.volume_report({"vqe_results": 0, "vqe_iterations": 0})["warning"] is None
+    assert ingest.volume_report({}) == {"tables": 0, "tables_with_new": 0, "summary": "", "warning": None}
+
+
+def test_settings_and_primitives():
+    import numpy as np
+
+    from trajecta import __main__ as cli
+    from trajecta import settings
+
+    assert settings.redact({"a": [{"api_TOKEN": 1, "b": {"Password": "x", "c": 2}}]}) == {"a": [{"api_TOKEN": "***", "b": {"Password": "***", "c": 2}}]}
+    assert settings.graph_name("energy", ["H", "H"]) == "energy_H_H" and settings.feature_windows({"HEAD_WINDOW": "3"}) == {"rolling": 5, "head": 3, "tail": 10}
+    assert readers.primitive({"x": np.arange(2), "y": [np.float64(1.5), 1j]}) == {"x": [0, 1], "y": [1.5, {"real": 0.0, "imaginary": 1.0}]}
+    args = cli.parser().parse_args(["train", "wh", "--fraction", "2"])
+    with pytest.raises(ValueError):
+        cli.check(args)
+
+
+def test_command_line_runs_the_pipelines(spark, tmp_path):
+    from trajecta import __main__ as cli
+
+    write_json(tmp_path / "bucket" / "runs", [raw_record(), raw_record(seed=7)])
+    wh, now = str(tmp_path / "wh"), datetime(2025, 1, 2)
+    run = lambda *argv: cli.run(spark, cli.parser().parse_args(list(argv)), now)
+    assert run("ingest", str(tmp_path / "bucket"), wh)["runs"]["vqe_results"] == 2 and run("features", wh)["ml_run_summary"] == 2
+    state = str(tmp_path / "state.json")
+    observability.save_state(spark.createDataFrame([("a", "done", datetime(2025, 1, 1), datetime(2025, 1, 1, 0, 1)), ("b", "pending", None, None), ("c", "failed", None, None)], observability.STATE), state)
+    assert run("status", state) == {"total": 3, "done": 1, "pending": 1, "failed": 1, "done_percent": 33, "eta_seconds": 20.0}
+    assert observability.read_state(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_avro_maps_enums_and_fixed():
+    schema = {"type": "record", "name": "r", "fields": [{"name": "m", "type": {"type": "map", "values": "long"}}, {"name": "e", "type": {"type": "enum", "name": "e", "symbols": ["A", "B"]}}, {"name": "f", "type": {"type": "fixed", "name": "f", "size": 2}}]}
+    value = {"m": {"x": 1, "y": -2}, "e": "B", "f": b"ab"}
+    assert avro.Reader(avro.to_bytes(schema, value)).value(schema) == value == avro.resolve(value, schema)
+
+
+def test_streamed_alerts_and_sessions(spark, tmp_path):
+    rows = [("a", i * 300, float(v)) for i, v in enumerate([9, 9, 9, 9, 1, 9])]
+    df = spark.createDataFrame(rows, "k string, s int, v double").select("k", F.timestamp_seconds("s").alias("ts"), "v")
+    df.write.parquet(str(tmp_path / "in"))
+    stream = lambda: streams.file_stream(spark, str(tmp_path / "in"), df.schema, "parquet")
+    q = streams.held_alerts(stream(), "k", "ts", "v", 5.0, 600).writeStream.format("memory").queryName("alerts").option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert [(r.since, r.until) for r in spark.table("alerts").collect()] == [(0, 600)]
+    streams.object_sink(streams.session_counts(stream(), "k", "ts", "2 minutes", "0 seconds"), str(tmp_path / "out"), str(tmp_path / "c2"), file_format="parquet")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5  # the last session is still open

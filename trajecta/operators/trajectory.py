@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,21 +131,27 @@ def longest_zero_run(df: DataFrame, flag: Column, name: str = "longest_plateau")
 def tolerant_improvement(df: DataFrame, tolerance: float = TOLERANCE, seeded: bool = True) -> DataFrame:
     """(run_id, step, energy, steps_since): steps since the energy last fell by more than ``tolerance``.
 
-    The state depends on the path, so a run is folded in order; ``seeded`` starts from the first energy
-    (which then doesn't improve on itself), else the first step improves.
+    The state depends on the path, so a run is scanned in order, once, in Arrow batches of whole runs;
+    ``seeded`` starts from the first energy (which then doesn't improve on itself), else the first step improves.
     """
     rows = df.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("step", "energy"))).alias("xs"))
-    start = F.expr("named_struct('m', xs[0].energy, 's', cast(0 as bigint), 'out', cast(array() as array<struct<step: bigint, energy: double, s: bigint>>))")
-    if not seeded:
-        start = F.expr("named_struct('m', cast('Infinity' as double), 's', cast(0 as bigint), 'out', cast(array() as array<struct<step: bigint, energy: double, s: bigint>>))")
 
-    def advance(acc: Column, x: Column) -> Column:
-        better = x["energy"] < acc["m"] - tolerance
-        since = F.when(better, F.lit(0).cast("bigint")).otherwise(acc["s"] + 1)
-        row = F.struct(x["step"].cast("bigint").alias("step"), x["energy"].alias("energy"), since.alias("s"))
-        return F.struct(F.when(better, x["energy"]).otherwise(acc["m"]).alias("m"), since.alias("s"), F.array_append(acc["out"], row).alias("out"))
+    @F.pandas_udf("array<bigint>")
+    def scan(energies: pd.Series) -> pd.Series:
+        out = []
+        for xs in energies:
+            least, since, row = xs[0] if seeded and len(xs) and xs[0] is not None else np.inf, 0, []
+            for x in xs:
+                if x is not None and x < least - tolerance:
+                    least, since = x, 0
+                else:
+                    since += 1
+                row.append(since)
+            out.append(row)
+        return pd.Series(out)
 
-    return rows.select("run_id", F.explode(F.aggregate("xs", start, advance)["out"]).alias("r")).select("run_id", "r.step", "r.energy", F.col("r.s").alias("steps_since"))
+    zipped = rows.select("run_id", F.arrays_zip(F.col("xs.step").alias("step"), F.col("xs.energy").alias("energy"), scan(F.col("xs.energy")).alias("since")).alias("z"))
+    return zipped.select("run_id", F.explode("z").alias("r")).select("run_id", "r.step", "r.energy", F.col("r.since").alias("steps_since"))
 
 
 def horizon_features(df: DataFrame, k: int) -> DataFrame:
@@ -153,7 +161,6 @@ def horizon_features(df: DataFrame, k: int) -> DataFrame:
     early, step = df.where(F.col("step") <= k), F.col("step")
     plateau = longest_zero_run(early, F.col("is_new_minimum"), f"longest_plateau_k{k}")
     half = k // 2
-    falls = F.greatest(F.lit(0.0), -F.col("energy_delta"))
     n = F.count(F.lit(1))
     columns = [
         n.alias("n_steps"),
@@ -167,12 +174,107 @@ def horizon_features(df: DataFrame, k: int) -> DataFrame:
         F.coalesce(F.stddev_pop("parameter_delta_norm"), F.lit(0.0)).alias(f"param_delta_norm_std_k{k}"),
     ]
     if k >= 20:
-        a = F.coalesce(F.sum(F.when(step <= half, falls)), F.lit(0.0))
-        b = F.coalesce(F.sum(F.when(step > half, falls)), F.lit(0.0))
+        a = F.coalesce(F.sum(F.when(step <= half, F.col("energy_delta"))), F.lit(0.0))
+        b = F.coalesce(F.sum(F.when(step > half, F.col("energy_delta"))), F.lit(0.0))
         columns.append((a / (a + b + 1e-12)).alias(f"improvement_ratio_k{k}"))
     return early.groupBy("run_id").agg(*columns).join(plateau, "run_id")
 
 
+def require_columns(df: DataFrame, columns: list[str]) -> None:
+    """Raise where any of ``columns`` is missing."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+
+
+def known_values(column: str, allowed: list[str]) -> Column:
+    """The column; a value that isn't ``allowed`` is an error when it is read.  Null stays null."""
+    c = F.col(column)
+    return F.when(c.isNull() | c.isin(*allowed), c).otherwise(F.raise_error(F.concat(F.lit(f"unsupported {column}: "), c.cast("string"))).cast("string"))
+
+
+#: Static columns of a run that features carry along where the table has them.
+RUN_COLUMNS = ["molecule_name", "num_qubits", "optimizer", "basis_set", "init_strategy"]
+
+
+def horizon_model_features(df: DataFrame, k: int, run: str = "run_id", step: str = "step") -> DataFrame:
+    """One row per run: everything the convergence models read, from the first ``k`` steps only.
+
+    Columns that the table lacks give their neutral values (no deltas, plateau ``k``, no movement, ratio 0.5).  Nulls
+    don't count in means.  Signals at step ``k`` fall back on the last five steps, and on ``k``, where a run is shorter.
+    """
+    require_columns(df, [run, step, "energy"])
+    if k < 1:
+        raise ValueError("the horizon must be at least 1")
+    have = set(df.columns)
+    early = with_ends(df.withColumnsRenamed({run: "run_id", step: "step"}).where(F.col("step") <= k))
+    s, delta, norm = F.col("step"), F.col("energy_delta") if "energy_delta" in have else F.lit(None).cast("double"), F.col("parameter_delta_norm") if "parameter_delta_norm" in have else F.lit(0.0)
+    at_k = lambda c: F.max(F.when(s == k, F.col(c))) if c in have else F.lit(None).cast("double")
+    recent = F.coalesce(F.stddev_pop(F.when(F.col("rn_desc") <= 5, F.col("energy"))), F.lit(0.0))
+    half = lambda c: F.coalesce(F.sum(F.when(c, delta)), F.lit(0.0))
+    columns = [
+        *[F.max(F.when(s == i, delta)).alias(f"energy_delta_k{i}") for i in range(1, min(5, k) + 1)],
+        F.coalesce(F.regr_slope("energy", F.col("rn_asc").cast("double")), F.lit(0.0)).alias(f"energy_slope_first{k}"),
+        F.when(F.max(s == k) & F.lit("energy_moving_std_5" in have), at_k("energy_moving_std_5")).otherwise(recent).alias("energy_moving_std_5_at_k"),
+        F.coalesce(at_k("steps_since_improvement").cast("double"), F.lit(float(k))).alias(f"steps_since_improvement_at_k{k}"),
+        F.coalesce(F.avg(norm), F.lit(0.0)).alias(f"param_delta_norm_mean_k{k}"), F.coalesce(F.stddev_pop(norm), F.lit(0.0)).alias(f"param_delta_norm_std_k{k}"),
+        *[F.min_by(c, "step").alias(c) for c in (*RUN_COLUMNS, "converged") if c in have],
+    ]
+    if k >= 20:
+        a, b = half(s <= k // 2), half(s > k // 2)
+        columns.append((a / (a + b + 1e-12) if "energy_delta" in have else F.lit(0.5)).alias(f"improvement_ratio_k{k}"))
+    out = early.groupBy("run_id").agg(*columns)
+    if "is_new_minimum" in have:
+        out = out.join(longest_zero_run(early, F.col("is_new_minimum"), f"longest_plateau_first{k}"), "run_id")
+    else:
+        out = out.withColumn(f"longest_plateau_first{k}", F.lit(k))
+    random = (F.lower(F.coalesce(F.col("init_strategy"), F.lit("random"))) == "random").cast("double") if "init_strategy" in have else F.lit(1.0)
+    qubits = F.coalesce(F.col("num_qubits"), F.lit(0)).cast("double") if "num_qubits" in have else F.lit(0.0)
+    return out.withColumns({"mean_param_delta_norm": F.col(f"param_delta_norm_mean_k{k}"), "init_strategy_random": random, "qubit_x_random": qubits * random}).withColumnRenamed("run_id", run)
+
+
+def horizon_feature_names(k: int, columns: list[str]) -> tuple[list[str], list[str]]:
+    """(numeric, categorical) features of a horizon, those of ``columns`` only."""
+    numeric = ["num_qubits", "mean_param_delta_norm", "init_strategy_random", "qubit_x_random", *[f"energy_delta_k{i}" for i in range(1, min(5, k) + 1)], f"energy_slope_first{k}", "energy_moving_std_5_at_k",
+               f"steps_since_improvement_at_k{k}", f"longest_plateau_first{k}", f"param_delta_norm_mean_k{k}", f"param_delta_norm_std_k{k}", *([f"improvement_ratio_k{k}"] if k >= 20 else [])]
+    return [c for c in numeric if c in columns], [c for c in ("optimizer", "basis_set") if c in columns]
+
+
+#: Numeric and categorical features of ``prefix_model_features``.
+PREFIX_NUMERIC = "cumulative_min_energy current_energy energy_slope energy_improvement_rate energy_delta_mean energy_delta_std energy_moving_std steps_since_improvement num_steps_observed num_qubits ansatz_reps trajectory_fraction".split()
+PREFIX_CATEGORICAL = ["optimizer", "basis_set"]
+
+
+def prefix_model_features(df: DataFrame, fraction: float, tolerance: float = TOLERANCE, run: str = "run_id", step: str = "step") -> DataFrame:
+    """One row per run: everything the energy models read, from the first ``fraction`` of its steps, and final_energy where it is known."""
+    require_columns(df, [run, step, "energy"])
+    have = set(df.columns)
+    rows = prefix_rows(df.withColumnsRenamed({run: "run_id", step: "step"}), fraction)
+    rn, last5 = F.col("rn"), F.col("rn") > F.col("n_prefix") - 5
+    delta = F.col("energy_delta") if "energy_delta" in have else F.abs(F.col("energy") - F.lag("energy").over(ordered()))
+    rows = rows.withColumn("__d", delta)
+    static = {"num_qubits": F.lit(0), "ansatz_reps": F.lit(1), "optimizer": F.lit("UNKNOWN"), "basis_set": F.lit("sto-3g"), "molecule_name": F.lit("UNKNOWN")}
+    least = F.max_by("cumulative_min_energy", "rn") if "cumulative_min_energy" in have else F.min("energy")
+    final = F.min_by("final_energy", "rn") if "final_energy" in have else F.max_by("minimum_energy", "rn") if "minimum_energy" in have else F.lit(None).cast("double")
+    out = rows.groupBy("run_id").agg(
+        least.alias("cumulative_min_energy"), F.max_by("energy", "rn").alias("current_energy"), F.coalesce(F.regr_slope("energy", rn.cast("double")), F.lit(0.0)).alias("energy_slope"), F.min_by("energy", "rn").alias("__e0"),
+        F.coalesce(F.avg("__d"), F.lit(0.0)).alias("energy_delta_mean"), F.coalesce(F.stddev_pop("__d"), F.lit(0.0)).alias("energy_delta_std"), F.coalesce(F.stddev_pop(F.when(last5, F.col("energy"))), F.lit(0.0)).alias("energy_moving_std"),
+        F.count(F.lit(1)).cast("double").alias("num_steps_observed"), F.array_sort(F.collect_list(F.struct("rn", "energy"))).alias("__xs"), final.alias("final_energy"),
+        *[(F.coalesce(F.min_by(c, "rn"), d) if c in have else d).alias(c) for c, d in static.items()],
+    )
+    start = F.struct(F.col("__e0").alias("m"), F.lit(0.0).alias("n"))
+
+    def advance(acc: Column, x: Column) -> Column:
+        better = x["energy"] < acc["m"] - tolerance
+        return F.struct(F.when(better, x["energy"]).otherwise(acc["m"]).alias("m"), F.when(better, F.lit(0.0)).otherwise(acc["n"] + 1.0).alias("n"))
+
+    return out.select(
+        "run_id", "molecule_name", "cumulative_min_energy", "current_energy", "energy_slope", ((F.col("__e0") - F.col("cumulative_min_energy")) / F.col("num_steps_observed")).alias("energy_improvement_rate"),
+        "energy_delta_mean", "energy_delta_std", "energy_moving_std", F.aggregate("__xs", start, advance)["n"].alias("steps_since_improvement"), "num_steps_observed",
+        F.col("num_qubits").cast("double").alias("num_qubits"), F.col("ansatz_reps").cast("double").alias("ansatz_reps"), F.lit(float(fraction)).alias("trajectory_fraction"), "optimizer", "basis_set", "final_energy",
+    ).withColumnRenamed("run_id", run)
+
+
 def prefix_rows(df: DataFrame, fraction: float) -> DataFrame:
     """The first max(1, ceil(n * fraction)) steps of each run, with rn (1-based) and n_prefix."""
     if not 0 < fraction <= 1:

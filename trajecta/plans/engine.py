@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics
@@ -14,8 +14,8 @@ from ..sources import avro
 from ..sources.tables import VersionedTable
 from ..streaming import ingest as streams
 from . import pipelines
-from .reference import features as event_features
-from .reference import steps as event_steps
+from .reference import STEPS
+from .surface import model_rows
 
 #: Stands for the clock of a job, so that results can be repeated.
 NOW = datetime(2026, 1, 1)
@@ -106,32 +106,19 @@ def pipeline_audit(spark, base):
     return rows.select(F.explode(F.arrays_zip("table_names", "record_counts")).alias("z")).groupBy("z.table_names").agg(F.sum("z.record_counts").alias("n"), F.count_if(F.col("z.record_counts") == 0).alias("n_unchanged"))
 
 
-NUMERIC = ["energy_slope_k10", "energy_mean_last5_k10", "energy_std_last5_k10", "param_delta_norm_mean_k10", "num_new_minima_k10"]
+NUMERIC = ["energy_slope_first10", "energy_delta_k1", "energy_delta_k2", "param_delta_norm_mean_k10", "longest_plateau_first10"]
 
 
-HORIZONS = (10, 20, 50)
-CATEGORICAL = ["optimizer", "basis_set"]
+HORIZONS, FRACTIONS = (10, 20, 50), (0.25, 0.5, 0.75)
 
 
 def _labelled(spark, base, k: int = 10) -> DataFrame:
-    """Horizon features of event runs; the label says whether the run's minimum is below the median of minima.
-
-    The last values of the running features up to step ``k`` belong to them; optimizer and basis_set are those of ``iter_features``.
-    """
-    features = event_features(spark, base)
-    last = {"energy_moving_std_5": "energy_moving_std_5_at_k", "steps_since_improvement": f"steps_since_improvement_at_k{k}", "mean_param_change": f"mean_param_change_at_k{k}"}
-    ends = features.where(F.col("step") <= k).groupBy("run_id").agg(*[F.max_by(c, "step").alias(name) for c, name in last.items()])
-    rows = trajectory.horizon_features(features, k).join(ends, "run_id")
-    best = trajectory.best_step(event_steps(spark, base)).select("run_id", "best_energy")
-    middle = best.agg(F.median("best_energy").alias("m"))  # one row
-    nation = read_table(spark, base, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("basis_set"))
-    segment = read_table(spark, base, "customer").join(nation, "c_nationkey", "left").select(F.col("c_custkey").alias("run_id"), F.col("c_mktsegment").alias("segment"), F.col("c_mktsegment").alias("optimizer"), "basis_set")
-    return rows.join(best, "run_id").crossJoin(F.broadcast(middle)).withColumn("label", (F.col("best_energy") < F.col("m")).cast("int")).join(segment, "run_id")
-
-
-def horizon_numeric(df: DataFrame) -> list[str]:
-    """Every numeric feature of ``_labelled``; the number of steps isn't one."""
-    return [c for c in df.columns if c not in ("run_id", "n_steps", "best_energy", "m", "label", "segment", *CATEGORICAL)]
+    """The convergence models' features of event runs up to step ``k``; the label says whether the run's minimum is below the median of minima."""
+    features = model_rows(spark, base)
+    rows = trajectory.horizon_model_features(features, k)
+    best = features.groupBy("run_id").agg(F.min("energy").alias("best_energy"))
+    middle = metrics.exact_medians(best, ["best_energy"])["best_energy"]
+    return rows.join(best, "run_id").withColumns({"label": (F.col("best_energy") < F.lit(middle)).cast("int"), "segment": F.col("optimizer")})
 
 
 def _classifier(name, model):
@@ -139,25 +126,29 @@ def _classifier(name, model):
         folds = []
         for k in HORIZONS:
             df = _labelled(spark, base, k)
-            folds += models.fit_classifiers(df, horizon_numeric(df), CATEGORICAL, "segment", "run_id", estimators={name: model}, suffix=f"_k{k}").folds
-        return models.Fitted(folds).summary(spark).select("model", "held_out", "n_rows", "roc_auc", "brier", "mcc")
+            numeric, categorical = trajectory.horizon_feature_names(k, df.columns)
+            folds += models.fit_classifiers(df, numeric, categorical, "segment", "run_id", estimators={name: model}, suffix=f"_k{k}", interact=[f"energy_slope_first{k}", *models.INTERACT]).folds
+        return models.Fitted(folds).summary(spark, ["model", "held_out"]).select("model", "held_out", "n_rows", "roc_auc", "brier", "mcc")
 
     return run
 
 
 def _regressor(name, model):
+    """Energy models on each share of the steps seen: the run's least energy from its first steps."""
+
     def run(spark, base):
         folds = []
-        for k in HORIZONS:
-            df = _labelled(spark, base, k)
-            folds += models.fit_regressors(df, horizon_numeric(df), CATEGORICAL, "segment", "best_energy", {name: model}, suffix=f"_k{k}").folds
-        return models.Fitted(folds).summary(spark).select("model", "held_out", "n_rows", "mae", "rmse")
+        rows = model_rows(spark, base).withColumn("final_energy", F.min("energy").over(Window.partitionBy("run_id")))
+        for fraction in FRACTIONS:
+            df = trajectory.prefix_model_features(rows, fraction).withColumn("segment", F.col("optimizer"))
+            folds += models.fit_regressors(df, trajectory.PREFIX_NUMERIC, trajectory.PREFIX_CATEGORICAL, "segment", "final_energy", {name: model}, suffix=f"_{int(fraction * 100)}").folds
+        return models.Fitted(folds).summary(spark, ["held_out", "model"]).select("model", "held_out", "n_rows", "mae", "rmse")
 
     return run
 
 
 def imputed_features(spark, base):
-    return metrics.median_impute(_labelled(spark, base), NUMERIC).select("run_id", *NUMERIC, "label")
+    return metrics.median_impute(_labelled(spark, base), NUMERIC).select("run_id", *[F.round(c, 6).alias(c) if c in ("energy_slope_first10", "param_delta_norm_mean_k10") else c for c in NUMERIC], "label")
 
 
 def fan_out_guard(spark, base):
@@ -182,8 +173,8 @@ def queries() -> dict:
         "logistic_fit": _classifier("logistic", lambda n, _: models.logistic(n)),
         "forest_fit": _classifier("forest", models.forest()),
         "gbt_fit": _classifier("boosted", models.boosted()),
-        "ridge_fit": _regressor("ridge", lambda n, std: models.ridge(n, std, label="best_energy")),
-        "gbt_regressor_fit": _regressor("boosted", models.boosted_regressor("best_energy")),
+        "ridge_fit": _regressor("ridge", lambda n, std: models.ridge(n, std, label="final_energy")),
+        "gbt_regressor_fit": _regressor("boosted", models.boosted_regressor("final_energy")),
     }
 
 
@@ -192,7 +183,15 @@ _COLUMNS = ", ".join(ORDERS)
 
 def oracle_sql() -> dict[str, str]:
     whole = f"SELECT {_COLUMNS} FROM orders"
+    last = "coalesce({0}, (SELECT median({0}) FROM v), 0.0)"
+    imputed = STEPS.rstrip() + f""", e AS (SELECT * FROM f WHERE step <= 10), g AS (SELECT run_id, sum(CASE WHEN is_new_minimum THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY step) AS g, is_new_minimum FROM e),
+      p AS (SELECT run_id, CAST(max(n) AS DOUBLE) AS longest_plateau_first10 FROM (SELECT run_id, count(*) FILTER (NOT is_new_minimum) AS n FROM g GROUP BY run_id, g) GROUP BY run_id), b AS (SELECT run_id, min(energy) AS best FROM s GROUP BY run_id),
+      v AS (SELECT run_id, CASE WHEN count(*) > 1 THEN regr_slope(energy, step) ELSE 0 END AS energy_slope_first10, max(energy_delta) FILTER (step = 1) AS energy_delta_k1, max(energy_delta) FILTER (step = 2) AS energy_delta_k2, coalesce(avg(parameter_delta_norm), 0) AS param_delta_norm_mean_k10 FROM e GROUP BY run_id)
+      SELECT run_id, round({last.format("energy_slope_first10")}, 6) AS energy_slope_first10, {last.format("energy_delta_k1")} AS energy_delta_k1, {last.format("energy_delta_k2")} AS energy_delta_k2,
+        round({last.format("param_delta_norm_mean_k10")}, 6) AS param_delta_norm_mean_k10, longest_plateau_first10, CAST(best < (SELECT median(best) FROM b) AS INTEGER) AS label
+      FROM v JOIN p USING (run_id) JOIN b USING (run_id) WHERE run_id IN (SELECT c_custkey FROM customer)"""
     return {
+        "imputed_features": imputed,
         "avro_round_trip": whole,
         "wire_frame_decode": "SELECT false AS quarantined, count(*) AS n, count(*) AS n_keys FROM orders UNION ALL SELECT true, count(*), 0 FROM orders WHERE o_orderkey % 10 = 0",
         "schema_evolution_defaults": "SELECT o_orderkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice FROM orders",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics, observability
 from ..operators import ingest, trajectory
-from ..runtime import read_table
+from ..runtime import read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -150,8 +150,8 @@ def tolerant(spark, base):
 
 
 def _horizon_sql(k: int) -> str:
-    ratio = f""", coalesce(sum(greatest(0.0, -energy_delta)) FILTER (step <= {k // 2}), 0) / (coalesce(sum(greatest(0.0, -energy_delta)) FILTER (step <= {k // 2}), 0)
-      + coalesce(sum(greatest(0.0, -energy_delta)) FILTER (step > {k // 2}), 0) + 1e-12) AS improvement_ratio_k{k}""" if k >= 20 else ""
+    first, second = (f"coalesce(sum(energy_delta) FILTER (step {c} {k // 2}), 0)" for c in ("<=", ">"))
+    ratio = f", {first} / ({first} + {second} + 1e-12) AS improvement_ratio_k{k}" if k >= 20 else ""
     deltas = ", ".join(f"max(energy_delta) FILTER (step = {i}) AS energy_delta_k{i}" for i in range(1, 6))
     inner = f"""SELECT run_id, count(*) AS n_steps, round(CASE WHEN count(*) > 1 THEN regr_slope(energy, step) ELSE 0 END, 9) AS energy_slope_k{k}, {deltas},
       round(avg(energy) FILTER (step > {k - 5}), 9) AS energy_mean_last5_k{k}, round(coalesce(stddev_pop(energy) FILTER (step > {k - 5}), 0), 9) AS energy_std_last5_k{k},
@@ -223,10 +223,10 @@ def new_records_anti_join(spark, base):
     return ingest.new_records(orders.select("o_orderkey", "o_custkey"), existing, ["o_orderkey", "o_custkey"])
 
 
-@query("new_ids_left_anti", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("new_ids_left_anti", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderstatus = 'P')")
 def new_ids_left_anti(spark, base):
     customer, orders = _tables(spark, base, "customer", "orders")
-    return ingest.new_records(customer.select("c_custkey"), orders.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return ingest.new_records(customer.select("c_custkey"), orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query("restrict_left_semi", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
@@ -275,10 +275,10 @@ def union_append(spark, base):
     return customer.select(F.col("c_custkey").alias("k"), F.lit("customer").alias("origin")).unionByName(orders.select(F.col("o_custkey").alias("k"), F.lit("orders").alias("origin")))
 
 
-@query("except_ids", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("except_ids", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def except_ids(spark, base):
     customer, orders = _tables(spark, base, "customer", "orders")
-    return customer.select(F.col("c_custkey").alias("k")).subtract(orders.select(F.col("o_custkey").alias("k")))
+    return customer.select(F.col("c_custkey").alias("k")).subtract(orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("k")))
 
 
 @query("intersect_ids", "SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders")
@@ -310,7 +310,7 @@ def _vector_sql(source: str, value: str, kind: str) -> str:
 
 
 _NORMAL_SQL = {
-    "molecules": RUNS + "SELECT experiment_id, molecule_id, array_to_string(molecule.molecule_data.symbols, '') AS molecule_name, molecule.molecule_data.multiplicity AS multiplicity, molecule.molecule_data.charge AS charge, molecule.molecule_data.units AS coordinate_units FROM r",
+    "molecules": RUNS + "SELECT experiment_id, molecule_id, array_to_string(molecule.molecule_data.symbols, '') AS molecule_name, molecule.molecule_data.multiplicity AS multiplicity, molecule.molecule_data.charge AS charge, molecule.molecule_data.units AS coordinate_units, array_to_string(molecule.molecule_data.symbols, '|') AS atom_symbols, round(list_sum(flatten(molecule.molecule_data.coords)), 6) AS coordinates, len(molecule.molecule_data.masses) || ':' || round(coalesce(list_sum(molecule.molecule_data.masses), 0), 6) AS atomic_masses FROM r",
     "ansatz_info": RUNS + f"SELECT experiment_id, molecule_id, basis_set, {_I}.ansatz AS ansatz, {_I}.ansatz_reps AS ansatz_reps, coalesce({_I}.ansatz_name, 'EfficientSU2') AS ansatz_name, coalesce({_I}.init_strategy, 'random') AS init_strategy FROM r",
     "performance_metrics": RUNS + f"SELECT experiment_id, molecule_id, basis_set, hamiltonian_time, mapping_time, vqe_time, total_time, {_V}.minimization_time AS minimization_time, hamiltonian_time + mapping_time + vqe_time AS computed_total_time FROM r",
     "vqe_results": RUNS + f"SELECT experiment_id, molecule_id, basis_set, {_I}.backend AS backend, {_I}.num_qubits AS num_qubits, {_I}.optimizer AS optimizer, {_I}.noise_backend AS noise_backend, {_I}.default_shots AS default_shots, {_I}.ansatz_reps AS ansatz_reps, coalesce({_I}.ansatz_name, 'EfficientSU2') AS ansatz_name, coalesce({_I}.init_strategy, 'random') AS init_strategy, {_I}.seed AS seed, {_V}.minimum AS minimum_energy, {_V}.maxcv AS maxcv, {_V}.nuclear_repulsion_energy AS nuclear_repulsion_energy, {_V}.success AS success, {_V}.nfev AS nfev, {_V}.nit AS nit, CAST(len({_V}.iteration_list) AS INTEGER) AS total_iterations FROM r",
@@ -325,7 +325,15 @@ _NORMAL_SQL = {
 def _normal(name: str):
     def run(spark, base):
         out = ingest.normal_tables(runs(spark, base))[name]
-        return out.drop("atom_symbols", "coordinates", "atomic_masses")
+        if name == "molecules":  # arrays as text and sums, so that any engine compares them
+            total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
+            flat = F.flatten("coordinates")
+            out = out.withColumns({
+                "atom_symbols": F.array_join("atom_symbols", "|"), "coordinates": F.when(F.size(F.filter(flat, lambda x: x.isNotNull())) > 0, F.round(total(flat), 6)),
+                "atomic_masses": F.concat_ws(":", F.when(F.col("atomic_masses").isNotNull(), F.size("atomic_masses")).cast("string"), F.round(total(F.col("atomic_masses")), 6).cast("string")),
+            })
+            out = out.withColumn("atomic_masses", F.when(F.col("atomic_masses") != "", F.col("atomic_masses")))
+        return out
 
     return run
 
@@ -385,7 +393,13 @@ def molecule_geometry(spark, base):
     return x.groupBy("molecule_id").agg(F.min("x").alias("min_coord"), F.max("x").alias("max_coord"), r9(F.avg("x")).alias("mean_coord"))
 
 
-@query("vector_l2_delta")
+@query(
+    "vector_l2_delta",
+    """SELECT record_id, CAST(pos AS INTEGER) AS step, round(CASE WHEN len(p) = len(q) AND len([x for x in p if x IS NULL]) + len([x for x in q if x IS NULL]) = 0
+      THEN sqrt(coalesce(list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(p, q)]), 0)) END, 9) AS norm
+    FROM (SELECT record_id, pos, it.parameters AS p, lag(it.parameters) OVER (PARTITION BY record_id ORDER BY pos) AS q
+      FROM (SELECT record_id, unnest(vqe_result.iteration_list) AS it, unnest(range(len(vqe_result.iteration_list))) AS pos FROM vqe_runs) WHERE it IS NOT NULL)""",
+)
 def vector_l2_delta(spark, base):
     """Distance of each iteration's parameter vector from the one before, in order of place."""
     its = read_table(spark, base, "vqe_runs").select("record_id", F.posexplode("vqe_result.iteration_list").alias("step", "it")).where("it is not null")
@@ -400,12 +414,12 @@ def vector_norms(spark, base):
 
 @query(
     "complex_other_bucket",
-    f"""SELECT record_id, CASE WHEN sqrt(re * re + im * im) > 0.05 THEN label ELSE 'Other' END AS term, round(sum(re), 9) AS real_sum, round(sum(im), 9) AS imaginary_sum, round(sum(sqrt(re * re + im * im)), 9) AS magnitude_sum, count(*) AS n
+    f"""SELECT record_id, CASE WHEN sqrt(re * re + im * im) > 0.05 THEN label ELSE 'Other' END AS term, round(sum(re), 9) AS real_sum, round(sum(im), 9) AS imaginary_sum, round(sum(sqrt(re * re + im * im)), 9) AS magnitude_sum, round(avg(atan2(im, re)), 6) AS mean_phase, count(*) AS n
     FROM (SELECT record_id, t.label AS label, t.coefficients.real AS re, t.coefficients.imaginary AS im FROM (SELECT record_id, unnest({_I}.hamiltonian) AS t FROM vqe_runs)) GROUP BY 1, 2""",
 )
 def complex_other_bucket(spark, base):
     terms = read_table(spark, base, "vqe_runs").select("record_id", F.explode("vqe_result.initial_data.hamiltonian").alias("t")).select("record_id", "t.label", F.col("t.coefficients.real").alias("re"), F.col("t.coefficients.imaginary").alias("im"))
-    return _round(metrics.complex_buckets(terms, "record_id", "label", "re", "im", 0.05), "real_sum", "imaginary_sum", "magnitude_sum")
+    return _round(metrics.complex_buckets(terms, "record_id", "label", "re", "im", 0.05), "real_sum", "imaginary_sum", "magnitude_sum").withColumn("mean_phase", F.round("mean_phase", 6))
 
 
 # --- derived metrics, observability, batches -----------------------------------------------------------------
@@ -426,8 +440,8 @@ def accuracy_score(spark, base):
 @query(
     "efficiency_metrics",
     """SELECT record_id, CASE WHEN n <> 0 AND vqe_time <> 0 THEN n / vqe_time END AS iterations_per_second, CASE WHEN n <> 0 AND vqe_time <> 0 THEN vqe_time / n END AS time_per_iteration,
-    CASE WHEN total_time <> 0 AND vqe_time <> 0 THEN (total_time - vqe_time) / total_time END AS overhead_ratio, CASE WHEN total_time <> 0 AND vqe_time <> 0 THEN vqe_time / total_time END AS efficiency_ratio,
-    CASE WHEN total_time <> 0 AND hamiltonian_time <> 0 AND mapping_time <> 0 THEN (hamiltonian_time + mapping_time) / total_time END AS setup_ratio
+    CASE WHEN total_time <> 0 AND vqe_time > 0 THEN (total_time - vqe_time) / vqe_time END AS overhead_ratio, CASE WHEN total_time <> 0 AND vqe_time <> 0 THEN vqe_time / total_time END AS efficiency_ratio,
+    CASE WHEN vqe_time <> 0 AND hamiltonian_time <> 0 AND mapping_time <> 0 THEN coalesce((hamiltonian_time + mapping_time) / nullif(total_time, 0), 0) END AS setup_ratio
     FROM (SELECT *, len(vqe_result.iteration_list) AS n FROM vqe_runs)""",
 )
 def efficiency_metrics(spark, base):
@@ -442,12 +456,15 @@ _PD = "CAST(json_extract({}, '$.system.{}') AS DOUBLE)"
 @query(
     "perf_delta_json",
     f"""SELECT record_id, {_PD.format('e', 'cpu.percent')} - {_PD.format('s', 'cpu.percent')} AS cpu_percent_delta, {_PD.format('e', 'memory.percent')} - {_PD.format('s', 'memory.percent')} AS memory_percent_delta,
-    ({_PD.format('e', 'memory.used')} - {_PD.format('s', 'memory.used')}) / 1073741824.0 AS memory_used_delta_gb, coalesce(e->>'$.container_type', s->>'$.container_type') AS container_type
+    ({_PD.format('e', 'memory.used')} - {_PD.format('s', 'memory.used')}) / 1073741824.0 AS memory_used_delta_gb, coalesce(e->>'$.container_type', s->>'$.container_type') AS container_type,
+    least(json_array_length(e, '$.gpu'), json_array_length(s, '$.gpu')) AS n_gpus,
+    CASE WHEN least(json_array_length(e, '$.gpu'), json_array_length(s, '$.gpu')) > 0 THEN round(CAST(json_extract(e, '$.gpu[0].utilization_gpu') AS DOUBLE) - CAST(json_extract(s, '$.gpu[0].utilization_gpu') AS DOUBLE), 9) END AS gpu0_utilization_delta
     FROM (SELECT record_id, CASE WHEN json_valid(performance_start) THEN CAST(performance_start AS JSON) END AS s, CASE WHEN json_valid(performance_end) THEN CAST(performance_end AS JSON) END AS e FROM vqe_runs)""",
 )
 def perf_delta_json(spark, base):
     rows = read_table(spark, base, "vqe_runs").select("record_id", ingest.perf_delta().alias("d"))
-    return rows.select("record_id", "d.cpu_percent_delta", "d.memory_percent_delta", "d.memory_used_delta_gb", "d.container_type")
+    first = F.get(F.col("d.gpu"), F.lit(0))
+    return rows.select("record_id", "d.cpu_percent_delta", "d.memory_percent_delta", "d.memory_used_delta_gb", "d.container_type", F.size("d.gpu").alias("n_gpus"), r9(first["utilization_gpu_delta"]).alias("gpu0_utilization_delta"))
 
 
 @query("exposition_lines", """SELECT event_id, 'event_user{type="' || event_type || '",source="' || replace(props, '"', '\\"') || '"} ' || user_id AS line FROM events""")
@@ -564,9 +581,28 @@ def batch_status(spark, base):
     return observability.batch_status(_matrix(spark, base), _state(spark, base), "run_key", ["lane"]).select("lane", "total", "done", "failed", "in_progress", "pending")
 
 
-@query("batch_eta", f"SELECT avg(seconds) AS mean_seconds, avg(seconds) * 30 / 3 AS eta_seconds FROM (SELECT seconds FROM ({_STATE}) WHERE state = 'done' ORDER BY seconds DESC, run_key LIMIT 20)")
+@query("batch_eta", f"SELECT avg(seconds) AS mean_seconds, avg(seconds) * (SELECT count(*) FROM ({_STATE}) WHERE state IS NULL) / 3 AS eta_seconds FROM (SELECT seconds FROM ({_STATE}) WHERE state = 'done' ORDER BY seconds DESC, run_key LIMIT 20)")
 def batch_eta(spark, base):
-    return observability.batch_eta(_state(spark, base), 30)
+    status = observability.batch_status(_matrix(spark, base), _state(spark, base), "run_key", ["lane"])
+    return observability.batch_eta(_state(spark, base), observability.batch_progress(status))
+
+
+@query("batch_progress", f"SELECT count(*) AS total, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'failed') AS failed, count(*) FILTER (state = 'in_progress') AS in_progress, count(*) FILTER (state IS NULL) AS pending, count(*) FILTER (state = 'done') * 100 // count(*) AS done_percent FROM ({_STATE})")
+def batch_progress(spark, base):
+    return observability.batch_progress(observability.batch_status(_matrix(spark, base), _state(spark, base), "run_key", ["lane"]))
+
+
+_UPDATED = f"SELECT run_key, CASE WHEN lane = 'ASIA' THEN 'done' ELSE state END AS state, seconds FROM ({_STATE}) WHERE state IS NOT NULL OR lane = 'ASIA'"
+
+
+@query("state_file", f"SELECT state, count(*) AS n FROM ({_UPDATED}) GROUP BY state")
+def state_file(spark, base):
+    """The batch's state written as a file, read, updated for one lane (known and new keys), written and read again."""
+    path = scratch_path(spark, "state") + ".json"
+    observability.save_state(_state(spark, base), path)
+    news = _matrix(spark, base).where("lane = 'ASIA'").select("run_key", F.lit("done").alias("state"), F.lit(None).cast("timestamp").alias("started_at"), F.lit(None).cast("timestamp").alias("completed_at"))
+    observability.save_state(observability.upsert_state(observability.read_state(spark, path), news), path)
+    return observability.read_state(spark, path).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- model input and metrics -----------------------------------------------------------------------------------

@@ -79,6 +79,8 @@ def spread(df: DataFrame) -> DataFrame:
     Only an input of fewer splits than cores is shuffled; larger ones are left as they are read.  A plan
     with a shuffle of its own is left to adaptive execution: asking for its partitions would run it.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     if any(node in plan for node in ("Join", "Aggregate", "Window", "Sort", "Repartition", "Deduplicate", "Distinct", "FlatMapGroups", "CoGroup")):

@@ -331,8 +331,8 @@ def read_avro(spark: SparkSession, path: str, schema: T.StructType, folders: T.S
 
     source = spark.read.format("binaryFile").option("pathGlobFilter", "*.avro")
     if folders:
-        fields = "path string, modificationTime timestamp, length bigint, content binary, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in folders.fields)
-        files = source.schema(fields).option("basePath", path).load(path).select("content", *names)
+        files = source.option("basePath", path).load(path)
+        files = files.select("content", *[(F.col(f.name) if f.name in files.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in folders.fields])
     else:
         files = source.option("recursiveFileLookup", True).load(path).select("content")
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in folders.fields) if folders else ""

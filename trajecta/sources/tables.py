@@ -101,9 +101,10 @@ class VersionedTable:
         return done
 
 
-def create_audit_table(spark: SparkSession, name: str) -> None:
-    """The audit table in the session's catalog, if it isn't there."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({AUDIT}) USING parquet")
+def create_audit_table(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """The audit table in the session's catalog, if it isn't there; ``location`` names its folder, else the catalog does."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({AUDIT}) USING parquet{where}")
 
 
 def catalog_tables(spark: SparkSession, names: list[str]) -> dict[str, DataFrame]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..runtime import FileSystem
+from ..sources import avro
 from ..sources.tables import VersionedTable
 
 
@@ -27,8 +31,48 @@ def kafka_options(servers: str, topic: str, group: str, security: str = "PLAINTE
     return named | {"kafka." + k.replace("_", "."): v for k, v in extra.items()}
 
 
-def append_batches(stream: DataFrame, table: VersionedTable, checkpoint: str, dead_letters: str | None = None, attempts: int = 3):
-    """Run the stream to its end, appending each micro-batch to ``table`` by its keys.
+def topic_stream(spark: SparkSession, options: dict[str, str], schemas: dict[int, object], target: T.StructType) -> DataFrame:
+    """Messages of a topic, each decoded by its writer's schema; a bad one has nulls and its reason in ``decode_error``.  Needs Spark's Kafka jar."""
+    return decoded(spark.readStream.format("kafka").options(**options).load().select(F.col("value").alias("message")), schemas, target)
+
+
+def decoded(stream: DataFrame, schemas: dict[int, object], target: T.StructType, column: str = "message") -> DataFrame:
+    """A stream of framed messages (from any source) as records and ``decode_error``."""
+    return avro.decode_frames(stream, schemas, target, column)
+
+
+def deliver(batch: DataFrame, send: Callable[[DataFrame], None], spool: str, key: str = "molecule_id", attempts: int = 3, pause: float = 1.0) -> bool:
+    """Hand a batch to ``send`` with growing pauses between attempts; True if it went through.
+
+    What can't be delivered is kept in ``spool`` as ``molecule_<key>-<token>.json`` files, which ``readers.replay_spool`` reads.
+    """
+    for n in range(attempts):
+        try:
+            send(batch)
+            return True
+        except Exception:  # noqa: BLE001  (whatever is wrong with the sink, the records are kept)
+            if n + 1 < attempts:
+                time.sleep(pause * 2**n)
+    token = uuid.uuid4().hex
+    staging, fs = f"{spool.rstrip('/')}/_staging-{token}", FileSystem(batch.sparkSession, spool)
+    batch.withColumn("__k", F.coalesce(F.col(key).cast("string"), F.lit("none"))).write.partitionBy("__k").json(staging)
+    for i, (path, _) in enumerate(fs.sizes(staging)):
+        name = path.rsplit("/", 2)[-2].removeprefix("__k=")
+        fs.rename(path, f"{spool.rstrip('/')}/molecule_{name}-{token}-{i}.json")
+    fs.delete(staging)
+    return False
+
+
+def _run(writer, every: str | None):
+    """Start a writer: to the end of what is there, or every so often (``10 seconds``) until it is stopped."""
+    query = (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    if not every:
+        query.awaitTermination()
+    return query
+
+
+def append_batches(stream: DataFrame, table: VersionedTable, checkpoint: str, dead_letters: str | None = None, attempts: int = 3, every: str | None = None):
+    """Run the stream to its end (or every so often), appending each micro-batch to ``table`` by its keys.
 
     A batch that is run again adds nothing, as its keys are there.  A batch that fails ``attempts`` times
     is written to ``dead_letters`` as JSON and the query fails.
@@ -46,19 +90,29 @@ def append_batches(stream: DataFrame, table: VersionedTable, checkpoint: str, de
                     batch.write.mode("append").json(f"{dead_letters}/batch={number}")
                 raise
 
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+    return _run(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), every)
 
 
-def object_sink(stream: DataFrame, path: str, checkpoint: str, ts: str | None = None, file_format: str = "json"):
+def object_sink(stream: DataFrame, path: str, checkpoint: str, ts: str | None = None, file_format: str = "json", every: str | None = None):
     """Stream to files, by hour of ``ts`` (year, month, day, hour) if it is named."""
     if ts:
         stream = stream.withColumns({n: F.date_format(ts, p) for n, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))})
-    writer = stream.writeStream.format(file_format).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    query = (writer.partitionBy("year", "month", "day", "hour") if ts else writer).start()
-    query.awaitTermination()
-    return query
+    writer = stream.writeStream.format(file_format).option("path", path).option("checkpointLocation", checkpoint)
+    return _run(writer.partitionBy("year", "month", "day", "hour") if ts else writer, every)
+
+
+def quarantine_sink(stream: DataFrame, error: str, good: VersionedTable, bad: VersionedTable, checkpoint: str, every: str | None = None):
+    """Stream records to ``good`` and those with a reason in ``error`` to ``bad``; a bad record stops nothing."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        held = batch.persist()
+        try:
+            good.append(held.where(F.col(error).isNull()).drop(error))
+            bad.append(held.where(F.col(error).isNotNull()))
+        finally:
+            held.unpersist()
+
+    return _run(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), every)
 
 
 def unique_messages(stream: DataFrame, key: str, ts: str, delay: str = "7 days") -> DataFrame:
