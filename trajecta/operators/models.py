@@ -152,14 +152,15 @@ def _side_by_side(rows: DataFrame, jobs: list[Callable]) -> list:
         return pool.map(lambda job: job(), jobs, chunksize=1)
 
 
-def fit_classifiers(features: DataFrame, numeric: list[str], categorical: list[str], group: str, key: str, label: str = "label", estimators: dict | None = None, suffix: str = "", min_train: int = 5, min_rows: int = 10, interact: list[str] | None = None) -> Fitted:
+def fit_classifiers(features: DataFrame, numeric: list[str], categorical: list[str], group: str, key: str, label: str = "label", estimators: dict | None = None, suffix: str = "", min_train: int = 5, min_rows: int = 10, interact: list[str] | None = None, refit: bool = True) -> Fitted:
     """Leave one group out for each estimator, then fit on everything.
 
     Folds with fewer than ``min_train`` training rows, no test rows or one class in training are passed
     over; fewer than ``min_rows`` rows or two groups is an error.  Groups (molecules) are few.  An
     estimator may also be a function of the training rows and the label's deviation among them.  Missing
     numbers become the medians of a fold's training rows.  Boosted trees weigh positives only, the others balance the
-    classes; the logistic model also reads the products of the pairs of ``interact``.
+    classes; the logistic model also reads the products of the pairs of ``interact``.  Without ``refit`` only the folds
+    are fitted.
     """
     rows, n = training_frame(features.na.drop(subset=[label, group]))
     try:
@@ -188,13 +189,13 @@ def fit_classifiers(features: DataFrame, numeric: list[str], categorical: list[s
 
         folds = [lambda g=g, m=m: fold(g, *m) for g in usable for m in made.items()]
         whole = metrics.median_impute(rows, numeric, medians[None])
-        done = _side_by_side(rows, [*folds, *[lambda m=m: fit(whole, m, n) for m in made.values()]])
-        return Fitted([r for r, _ in done[: len(folds)]], {name + suffix: m for name, m in zip(made, done[len(folds) :], strict=True)}, [d for _, d in done[: len(folds)]])
+        done = _side_by_side(rows, [*folds, *[lambda m=m: fit(whole, m, n) for m in made.values() if refit]])
+        return Fitted([r for r, _ in done[: len(folds)]], {name + suffix: m for name, m in zip(made if refit else (), done[len(folds) :], strict=True)}, [d for _, d in done[: len(folds)]])
     finally:
         rows.unpersist()
 
 
-def fit_regressors(features: DataFrame, numeric: list[str], categorical: list[str], group: str, label: str = "label", estimators: dict | None = None, suffix: str = "", key: str | None = None) -> Fitted:
+def fit_regressors(features: DataFrame, numeric: list[str], categorical: list[str], group: str, label: str = "label", estimators: dict | None = None, suffix: str = "", key: str | None = None, refit: bool = True) -> Fitted:
     """The same for a continuous target; ``key`` names the rows of the kept predictions."""
     rows, n = training_frame(features.na.drop(subset=[label, group]))
     try:
@@ -216,8 +217,8 @@ def fit_regressors(features: DataFrame, numeric: list[str], categorical: list[st
 
         folds = [lambda g=g, m=m: fold(g, *m) for g in held_out for m in made.items()]
         whole = metrics.median_impute(rows, numeric, medians[None])
-        done = _side_by_side(rows, [*folds, *[lambda m=m: fit(whole, m) for m in made.values()]])
-        return Fitted([r for r, _ in done[: len(folds)]], {name + suffix: m for name, m in zip(made, done[len(folds) :], strict=True)}, [d for _, d in done[: len(folds)]])
+        done = _side_by_side(rows, [*folds, *[lambda m=m: fit(whole, m) for m in made.values() if refit]])
+        return Fitted([r for r, _ in done[: len(folds)]], {name + suffix: m for name, m in zip(made if refit else (), done[len(folds) :], strict=True)}, [d for _, d in done[: len(folds)]])
     finally:
         rows.unpersist()
 

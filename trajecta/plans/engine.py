@@ -121,27 +121,27 @@ def _labelled(spark, base, k: int = 10) -> DataFrame:
     return rows.join(best, "run_id").withColumns({"label": (F.col("best_energy") < F.lit(middle)).cast("int"), "segment": F.col("optimizer")})
 
 
-def _classifier(name, model):
+def _classifier(name, model, horizons=HORIZONS):
     def run(spark, base):
         folds = []
-        for k in HORIZONS:
+        for k in horizons:
             df = _labelled(spark, base, k)
             numeric, categorical = trajectory.horizon_feature_names(k, df.columns)
-            folds += models.fit_classifiers(df, numeric, categorical, "segment", "run_id", estimators={name: model}, suffix=f"_k{k}", interact=[f"energy_slope_first{k}", *models.INTERACT]).folds
+            folds += models.fit_classifiers(df, numeric, categorical, "segment", "run_id", estimators={name: model}, suffix=f"_k{k}", interact=[f"energy_slope_first{k}", *models.INTERACT], refit=False).folds
         return models.Fitted(folds).summary(spark, ["model", "held_out"]).select("model", "held_out", "n_rows", "roc_auc", "brier", "mcc")
 
     return run
 
 
-def _regressor(name, model):
+def _regressor(name, model, fractions=FRACTIONS):
     """Energy models on each share of the steps seen: the run's least energy from its first steps."""
 
     def run(spark, base):
         folds = []
         rows = model_rows(spark, base).withColumn("final_energy", F.min("energy").over(Window.partitionBy("run_id")))
-        for fraction in FRACTIONS:
+        for fraction in fractions:
             df = trajectory.prefix_model_features(rows, fraction).withColumn("segment", F.col("optimizer"))
-            folds += models.fit_regressors(df, trajectory.PREFIX_NUMERIC, trajectory.PREFIX_CATEGORICAL, "segment", "final_energy", {name: model}, suffix=f"_{int(fraction * 100)}").folds
+            folds += models.fit_regressors(df, trajectory.PREFIX_NUMERIC, trajectory.PREFIX_CATEGORICAL, "segment", "final_energy", {name: model}, suffix=f"_{int(fraction * 100)}", refit=False).folds
         return models.Fitted(folds).summary(spark, ["held_out", "model"]).select("model", "held_out", "n_rows", "mae", "rmse")
 
     return run
@@ -172,9 +172,9 @@ def queries() -> dict:
         "imputed_features": imputed_features,
         "logistic_fit": _classifier("logistic", lambda n, _: models.logistic(n)),
         "forest_fit": _classifier("forest", models.forest()),
-        "gbt_fit": _classifier("boosted", models.boosted()),
+        **{f"gbt_fit_k{k}": _classifier("boosted", models.boosted(), (k,)) for k in HORIZONS},
         "ridge_fit": _regressor("ridge", lambda n, std: models.ridge(n, std, label="final_energy")),
-        "gbt_regressor_fit": _regressor("boosted", models.boosted_regressor("final_energy")),
+        **{f"gbt_regressor_fit_{int(f * 100)}": _regressor("boosted", models.boosted_regressor("final_energy"), (f,)) for f in FRACTIONS},
     }
 
 
