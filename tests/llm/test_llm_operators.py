@@ -80,7 +80,7 @@ def test_least_squares_explain_a_solvable_histogram():
     truth = np.zeros(11)
     for s, k in ((2, 50), (3, 20), (5, 30)):
         truth[s] = k
-    x = packing.nnls(sizes, copies, truth, 3000)
+    x = packing.nnls(sizes, copies, truth, 3000, 1e-9)
     made = np.bincount(sizes.ravel(), (copies * x[:, None]).ravel(), minlength=11)
     made[0] = 0
     assert (x >= 0).all() and np.abs(made - truth).max() < 0.5

@@ -27,7 +27,7 @@ from ..operators.ordinals import with_ordinals
 #: they are thinned evenly for each longest length; lengths are never left out.
 MAX_COMBINATIONS = 400_000
 #: Least squares end when a round changes the counts by less than this share, at the latest after NNLS_ROUNDS.
-NNLS_CHANGE, NNLS_ROUNDS = 2e-5, 2000
+NNLS_CHANGE, NNLS_ROUNDS = 1e-3, 2000
 
 
 def combinations(lengths: np.ndarray, capacity: int, limit: int = MAX_COMBINATIONS) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +77,7 @@ def combinations(lengths: np.ndarray, capacity: int, limit: int = MAX_COMBINATIO
     return np.concatenate(rows_s), np.concatenate(rows_k)
 
 
-def nnls(sizes: np.ndarray, copies: np.ndarray, target: np.ndarray, rounds: int = NNLS_ROUNDS) -> np.ndarray:
+def nnls(sizes: np.ndarray, copies: np.ndarray, target: np.ndarray, rounds: int = NNLS_ROUNDS, change: float = NNLS_CHANGE) -> np.ndarray:
     """x >= 0 that minimises |W(Ax - target)|, by accelerated projected gradient; A is given sparsely.
 
     Column j of A has ``copies[j]`` at ``sizes[j]``; W weighs a length by the square root of its share of
@@ -107,7 +107,7 @@ def nnls(sizes: np.ndarray, copies: np.ndarray, target: np.ndarray, rounds: int
         else:
             y = new + (t - 1) / t_new * (new - x)
         moved, x, t = np.abs(new - x).sum(), new, t_new
-        if moved <= NNLS_CHANGE * max(1.0, x.sum()):
+        if moved <= change * max(1.0, x.sum()):
             break
     return x
 
