@@ -53,5 +53,14 @@ def test_anti_join_plan(spark):
 
 
 def test_rest_works_without_the_llm_subpackage(monkeypatch):
-    monkeypatch.setattr(entry.importlib.util, "find_spec", lambda name: None)
+    def absent(name):
+        raise ModuleNotFoundError(f"No module named {name}", name="trajecta.llm")
+
+    def broken(name):
+        raise ModuleNotFoundError("No module named tiktoken", name="tiktoken")
+
+    monkeypatch.setattr(entry.importlib, "import_module", absent)
     assert not any(n.startswith(("p5", "p6", "p7", "p8")) for n in entry.queries()) and "p4_found" in entry.queries()
+    monkeypatch.setattr(entry.importlib, "import_module", broken)
+    with pytest.raises(ModuleNotFoundError):  # a missing library doesn't shrink the queries in silence
+        entry.queries()

@@ -99,9 +99,9 @@ def pipeline_run_summary(spark, base):
 def pipeline_audit(spark, base):
     """Ingesting the same records twice: the second audit row says that nothing changed."""
     warehouse = scratch_path(spark, "warehouse")
-    raw = read_table(spark, base, "vqe_runs").drop("record_id", "experiment_id", "received_at")
+    raw = read_table(spark, base, "vqe_runs").drop("experiment_id", "received_at")
     for _ in range(2):
-        pipelines.ingest_records(spark, raw, warehouse, NOW)
+        pipelines.ingest_records(spark, raw, warehouse, NOW, order="record_id")
     rows = VersionedTable(spark, f"{warehouse}/processing_metadata").read()
     return rows.select(F.explode(F.arrays_zip("table_names", "record_counts")).alias("z")).groupBy("z.table_names").agg(F.sum("z.record_counts").alias("n"), F.count_if(F.col("z.record_counts") == 0).alias("n_unchanged"))
 
@@ -190,7 +190,17 @@ def oracle_sql() -> dict[str, str]:
       SELECT run_id, round({last.format("energy_slope_first10")}, 6) AS energy_slope_first10, {last.format("energy_delta_k1")} AS energy_delta_k1, {last.format("energy_delta_k2")} AS energy_delta_k2,
         round({last.format("param_delta_norm_mean_k10")}, 6) AS param_delta_norm_mean_k10, longest_plateau_first10, CAST(best < (SELECT median(best) FROM b) AS INTEGER) AS label
       FROM v JOIN p USING (run_id) JOIN b USING (run_id) WHERE run_id IN (SELECT c_custkey FROM customer)"""
+    its = "[x for x in vqe_result.iteration_list if x IS NOT NULL]"
+    counts = {
+        "molecules": "count(molecule_id)", "ansatz_info": "count(molecule_id)", "performance_metrics": "count(*) FILTER (molecule_id IS NOT NULL AND basis_set IS NOT NULL)", "vqe_results": "count(*) FILTER (molecule_id IS NOT NULL AND basis_set IS NOT NULL)",
+        "initial_parameters": "sum(len(vqe_result.initial_data.initial_parameters))", "optimal_parameters": "sum(len(vqe_result.optimal_parameters))", "vqe_iterations": f"sum(len({its}))",
+        "iteration_parameters": f"sum(list_sum([len(x.parameters) for x in {its}]))", "hamiltonian_terms": "sum(len(vqe_result.initial_data.hamiltonian))",
+    }
+    audit = "WITH r AS (SELECT * FROM vqe_runs QUALIFY row_number() OVER (PARTITION BY molecule.molecule_data, basis_set, vqe_result.initial_data ORDER BY record_id) = 1) " + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_names, CAST(coalesce({c}, 0) AS BIGINT) AS n, CASE WHEN coalesce({c}, 0) > 0 THEN 1 ELSE 2 END AS n_unchanged FROM r" for t, c in counts.items()
+    )
     return {
+        "pipeline_audit": audit,
         "imputed_features": imputed,
         "avro_round_trip": whole,
         "wire_frame_decode": "SELECT false AS quarantined, count(*) AS n, count(*) AS n_keys FROM orders UNION ALL SELECT true, count(*), 0 FROM orders WHERE o_orderkey % 10 = 0",

@@ -51,12 +51,12 @@ def model_rows(spark: SparkSession, base: str) -> DataFrame:
 def _horizon_sql(k: int) -> str:
     first, second = (f"coalesce(sum(energy_delta) FILTER (step {c} {k // 2}), 0)" for c in ("<=", ">"))
     deltas = ", ".join(f"max(energy_delta) FILTER (step = {i}) AS energy_delta_k{i}" for i in range(1, 6))
-    ratio = f", round({first} / ({first} + {second} + 1e-12), 5) AS improvement_ratio_k{k}" if k >= 20 else ""
+    ratio = f", round({first} / ({first} + {second} + 1e-12), 9) AS improvement_ratio_k{k}" if k >= 20 else ""
     return STEPS.rstrip() + f""", e AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS back FROM f WHERE step <= {k}),
-  a AS (SELECT run_id, {deltas}, round(CASE WHEN count(*) > 1 THEN regr_slope(energy, step) ELSE 0 END, 5) AS energy_slope_first{k},
-    round(CASE WHEN max(step) = {k} THEN max(energy_moving_std_5) FILTER (step = {k}) ELSE coalesce(stddev_pop(energy) FILTER (back <= 5), 0) END, 5) AS energy_moving_std_5_at_k,
+  a AS (SELECT run_id, {deltas}, round(CASE WHEN count(*) > 1 THEN regr_slope(energy, step) ELSE 0 END, 9) AS energy_slope_first{k},
+    round(CASE WHEN max(step) = {k} THEN max(energy_moving_std_5) FILTER (step = {k}) ELSE coalesce(stddev_pop(energy) FILTER (back <= 5), 0) END, 9) AS energy_moving_std_5_at_k,
     CAST(coalesce(max(steps_since_improvement) FILTER (step = {k}), {k}) AS DOUBLE) AS steps_since_improvement_at_k{k},
-    round(coalesce(avg(parameter_delta_norm), 0), 5) AS param_delta_norm_mean_k{k}, round(coalesce(stddev_pop(parameter_delta_norm), 0), 5) AS param_delta_norm_std_k{k}{ratio} FROM e GROUP BY run_id),
+    round(coalesce(avg(parameter_delta_norm), 0), 9) AS param_delta_norm_mean_k{k}, round(coalesce(stddev_pop(parameter_delta_norm), 0), 9) AS param_delta_norm_std_k{k}{ratio} FROM e GROUP BY run_id),
   g AS (SELECT run_id, sum(CASE WHEN is_new_minimum THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY step) AS g, is_new_minimum FROM e),
   p AS (SELECT run_id, max(n) AS longest_plateau_first{k} FROM (SELECT run_id, count(*) FILTER (NOT is_new_minimum) AS n FROM g GROUP BY run_id, g) GROUP BY run_id), d AS ({_DIMS})
 SELECT a.*, longest_plateau_first{k}, num_qubits, optimizer, basis_set, init_strategy, converged, param_delta_norm_mean_k{k} AS mean_param_delta_norm,
@@ -68,7 +68,7 @@ def _horizon(k: int):
     def run(spark, base):
         out = trajectory.horizon_model_features(model_rows(spark, base), k)
         rounded = [f"energy_slope_first{k}", "energy_moving_std_5_at_k", f"param_delta_norm_mean_k{k}", f"param_delta_norm_std_k{k}", "mean_param_delta_norm", *([f"improvement_ratio_k{k}"] if k >= 20 else [])]
-        return out.withColumns({c: F.round(c, 5) for c in rounded})
+        return out.withColumns({c: F.round(c, 9) for c in rounded})
 
     return run
 
@@ -81,9 +81,9 @@ def _prefix_sql(fraction: float) -> str:
     return "WITH RECURSIVE " + STEPS.removeprefix("WITH ").rstrip() + f""", u AS (SELECT *, count(*) OVER (PARTITION BY run_id) AS total FROM f), e AS (SELECT * FROM u WHERE step <= greatest(1, ceil(total * {fraction}))),
   t AS (SELECT run_id, step, energy AS m, CAST(1 AS BIGINT) AS n FROM e WHERE step = 1
     UNION ALL SELECT e.run_id, e.step, CASE WHEN e.energy < t.m - 1e-8 THEN e.energy ELSE t.m END, CASE WHEN e.energy < t.m - 1e-8 THEN 0 ELSE t.n + 1 END FROM t JOIN e ON e.run_id = t.run_id AND e.step = t.step + 1),
-  a AS (SELECT run_id, arg_max(cumulative_min_energy, step) AS cumulative_min_energy, arg_max(energy, step) AS current_energy, round(CASE WHEN count(*) > 1 THEN regr_slope(energy, step) ELSE 0 END, 6) AS energy_slope,
-    round((arg_min(energy, step) - arg_max(cumulative_min_energy, step)) / count(*), 6) AS energy_improvement_rate, round(coalesce(avg(energy_delta), 0), 6) AS energy_delta_mean, round(coalesce(stddev_pop(energy_delta), 0), 6) AS energy_delta_std,
-    round(coalesce(stddev_pop(energy) FILTER (step > greatest(1, ceil(total * {fraction})) - 5), 0), 6) AS energy_moving_std, CAST(count(*) AS DOUBLE) AS num_steps_observed FROM e GROUP BY run_id),
+  a AS (SELECT run_id, arg_max(cumulative_min_energy, step) AS cumulative_min_energy, arg_max(energy, step) AS current_energy, round(CASE WHEN count(*) > 1 THEN regr_slope(energy, step) ELSE 0 END, 9) AS energy_slope,
+    round((arg_min(energy, step) - arg_max(cumulative_min_energy, step)) / count(*), 9) AS energy_improvement_rate, round(coalesce(avg(energy_delta), 0), 9) AS energy_delta_mean, round(coalesce(stddev_pop(energy_delta), 0), 9) AS energy_delta_std,
+    round(coalesce(stddev_pop(energy) FILTER (step > greatest(1, ceil(total * {fraction})) - 5), 0), 9) AS energy_moving_std, CAST(count(*) AS DOUBLE) AS num_steps_observed FROM e GROUP BY run_id),
   l AS (SELECT run_id, CAST(arg_max(n, step) AS DOUBLE) AS steps_since_improvement FROM t GROUP BY run_id), d AS ({_DIMS})
 SELECT run_id, 'UNKNOWN' AS molecule_name, cumulative_min_energy, current_energy, energy_slope, energy_improvement_rate, energy_delta_mean, energy_delta_std, energy_moving_std, steps_since_improvement, num_steps_observed,
   CAST(num_qubits AS DOUBLE) AS num_qubits, CAST(ansatz_reps AS DOUBLE) AS ansatz_reps, CAST({fraction} AS DOUBLE) AS trajectory_fraction, optimizer, basis_set FROM a JOIN l USING (run_id) JOIN d USING (run_id)"""
@@ -92,7 +92,7 @@ SELECT run_id, 'UNKNOWN' AS molecule_name, cumulative_min_energy, current_energy
 def _prefix(fraction: float):
     def run(spark, base):
         out = trajectory.prefix_model_features(model_rows(spark, base), fraction).drop("final_energy")
-        return out.withColumns({c: F.round(c, 6) for c in ("energy_slope", "energy_improvement_rate", "energy_delta_mean", "energy_delta_std", "energy_moving_std")})
+        return out.withColumns({c: F.round(c, 9) for c in ("energy_slope", "energy_improvement_rate", "energy_delta_mean", "energy_delta_std", "energy_moving_std")})
 
     return run
 
