@@ -275,7 +275,7 @@ def test_registered_fits_are_those_of_the_operators(spark, monkeypatch):
     for name in ("forest_fit", "gbt_fit_k10", "gbt_fit_k20", "gbt_fit_k50"):
         engine.queries()[name](spark, "/root/testdata/sf0.001")
     assert [s for *_, s, _ in asked] == ["_k10", "_k20", "_k50"] * 2 and all(n >= 14 and c == ["optimizer", "basis_set"] for n, c, *_ in asked)
-    assert asked[0][3]["forest"].getNumTrees() == 200 and asked[3][3]["boosted"].getMaxIter() == 300
+    assert asked[0][3]["forest"](0, 0).getNumTrees() == 200 and asked[3][3]["boosted"](0, 0).getMaxIter() == 300
     assert "gbt_regressor_fit_50" in engine.queries()
 
 

@@ -171,10 +171,10 @@ def queries() -> dict:
         "fan_out_guard": fan_out_guard,
         "imputed_features": imputed_features,
         "logistic_fit": _classifier("logistic", lambda n, _: models.logistic(n)),
-        "forest_fit": _classifier("forest", models.forest()),
-        **{f"gbt_fit_k{k}": _classifier("boosted", models.boosted(), (k,)) for k in HORIZONS},
+        "forest_fit": _classifier("forest", lambda *_: models.forest()),
+        **{f"gbt_fit_k{k}": _classifier("boosted", lambda *_: models.boosted(), (k,)) for k in HORIZONS},
         "ridge_fit": _regressor("ridge", lambda n, std: models.ridge(n, std, label="final_energy")),
-        **{f"gbt_regressor_fit_{int(f * 100)}": _regressor("boosted", models.boosted_regressor("final_energy"), (f,)) for f in FRACTIONS},
+        **{f"gbt_regressor_fit_{int(f * 100)}": _regressor("boosted", lambda *_: models.boosted_regressor("final_energy"), (f,)) for f in FRACTIONS},
     }
 
 
